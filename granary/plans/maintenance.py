@@ -1,0 +1,60 @@
+"""Jobs that run beside the loads: lookup layouts and schema snapshots."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from granary.sinks.events import job_events, log_events
+from granary.sinks.layout import select_access_paths, write_layout
+from granary.sinks.tables import read_table, table_ddl
+from granary.sources.tables import list_tables
+
+
+def layout_tables(
+    spark: SparkSession,
+    database: str,
+    location: str,
+    *,
+    only: Sequence[str] = (),
+    skip: Sequence[str] = (),
+    partitions: int | None = None,
+    log_path: str | None = None,
+    log_format: str = "text",
+) -> dict[str, str]:
+    """Write one sorted copy per selected access path below ``location``; returns their folders.
+
+    Access paths of tables that are not there are skipped.
+    """
+    paths = select_access_paths(only, skip)
+    existing = {r["table"] for r in list_tables(spark, database).collect()}
+    events: list[tuple[str, dict[str, object]]] = [
+        ("index_run_start", {"schema": database, "indexes": len(paths),
+                             "selected": [p.name for p in paths]})
+    ]
+    written: dict[str, str] = {}
+    for p in paths:
+        if p.table not in existing:
+            events.append(("index_skip_missing_table", {"index": p.name, "table": p.table}))
+            continue
+        events.append(("index_start", {"index": p.name, "table": p.table}))
+        started = time.time()
+        written[p.name] = f"{location.rstrip('/')}/{p.name}"
+        write_layout(read_table(spark, database, p.table), p.column, written[p.name], partitions)
+        events.append(("index_done", {"index": p.name, "seconds": round(time.time() - started, 2)}))
+    events.append(("index_run_done", {}))
+    if log_path:
+        log_events(job_events(spark, events), log_path, log_format)
+    return written
+
+
+def snapshot_text(spark: SparkSession, database: str, output: str) -> None:
+    """Write the create statements of all base tables, in table order, as text."""
+    block = F.concat(
+        F.lit("--\n-- "), F.concat_ws(".", F.lit(database), F.col("table")), F.lit("\n--\n"),
+        F.col("ddl"), F.lit("\n"),
+    )
+    table_ddl(spark, database).select(block.alias("value")).coalesce(1).write.mode("overwrite").text(output)
