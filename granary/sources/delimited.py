@@ -133,7 +133,8 @@ def read_delimited(
 
     ``strict``: comma text whose records must have as many cells as the header.  All columns are
     returned under ``names`` (default: the header), with ``_corrupt`` holding the raw text of each
-    record of another width.  Blank lines are an error where lines are records.
+    record of another width.  Blank lines are an error where lines are records.  (Spark refuses a
+    query that uses ``_corrupt`` alone, so read another column with it or stage the scan.)
 
     Lenient: ``sep`` is overridden by a detected comma when it is the default tab, short records
     are padded with ``''``, extra cells are ignored and of equal headers the last one counts.
@@ -186,6 +187,7 @@ def read_delimited(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxCharsPerColumn", max_chars)
         .option("maxColumns", MAX_COLUMNS)
+        .option("columnPruning", not strict)  # a pruned parse would not see a wrong width
         .csv(path)
     )
 

@@ -20,6 +20,7 @@ from granary.operators.dedupe import keep_best, keep_first
 
 RUN, BATCH = "run", "batch_id"
 VERSION = (RUN, BATCH)
+NO_RUN = "0"
 
 
 def read_stream(
@@ -51,7 +52,7 @@ def _run_name(spark: SparkSession, checkpoint: str) -> str:
 def _prepare(spark: SparkSession, schema: T.StructType, target: str) -> None:
     """Make the target readable before the first batch."""
     empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").parquet(f"{target.rstrip('/')}/{RUN}=/{BATCH}=-1")
+    empty.write.mode("ignore").parquet(f"{target.rstrip('/')}/{RUN}={NO_RUN}/{BATCH}=-1")
 
 
 def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
@@ -69,7 +70,7 @@ def _run_batches(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         known = read_target(batch.sparkSession, target, schema).where(
-            (F.col(RUN) != run) | F.col(RUN).isNull() | (F.col(BATCH) < batch_id)
+            (F.col(RUN) != run) | (F.col(BATCH) < batch_id)
         )
         folder = f"{target.rstrip('/')}/{RUN}={run}/{BATCH}={batch_id}"
         rows(batch, known).write.mode("overwrite").parquet(folder)
