@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from granary import plans
+from granary.session import SETTINGS
 from granary.sinks.layout import select_access_paths
 from granary.sources.delimited import MAX_CELL_CHARS, TAB
 
@@ -78,7 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     if name == "layout" and options.pop("list"):
         print("\n".join(p.name for p in select_access_paths(options["only"], options["skip"])))
         return 0
-    spark = SparkSession.builder.appName(f"granary {name}").getOrCreate()
+    spark = SparkSession.builder.appName(f"granary {name}").config(map=SETTINGS).getOrCreate()
     if name == "import-bundle":
         if options["dictionary"]:
             page = spark.read.option("wholetext", True).text(options["dictionary"]).first()

@@ -46,7 +46,9 @@ def lenient_double(col: Column) -> Column:
     text = strip(col)
     lowered = F.lower(text)
     return (
-        F.when(text.rlike(LENIENT_DOUBLE_PATTERN), text.try_cast("double"))
+        F.when(col == "", F.lit(None))  # most cells of a wide export are empty, most others plain
+        .when(col.rlike(LENIENT_DOUBLE_PATTERN), col.try_cast("double"))
+        .when(text.rlike(LENIENT_DOUBLE_PATTERN), text.try_cast("double"))
         .when(lowered.rlike(INFINITY_PATTERN), lowered.try_cast("double"))
         .when(lowered.rlike(NAN_PATTERN), F.lit(float("nan")))
     )

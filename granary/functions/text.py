@@ -26,7 +26,11 @@ def _regex_ranges(ranges: str) -> str:
     return "".join("-".join(rf"\x{{{end}}}" for end in pair) for pair in ends)
 
 
-NOT_A_DIGIT = rf"[^\p{{Nd}}{_regex_ranges(OTHER_DIGITS)}]"
+# runs of plain ASCII first: the full class is slow and only needed for what lies beyond ASCII
+NOT_DIGITS = (
+    r"[\x00-\x2F\x3A-\x7F]+"
+    rf"|(?![\x00-\x7F])[^\p{{Nd}}{_regex_ranges(OTHER_DIGITS)}]+"
+)
 BOM = "\ufeff"
 
 
@@ -59,7 +63,7 @@ def normalize_layout_name(col: Column) -> Column:
 
 def digits_key(col: Column) -> Column:
     """Keep only the digits of a code, with leading zeros; the result stays text."""
-    return F.regexp_replace(strip(col), NOT_A_DIGIT, "")
+    return F.regexp_replace(col, NOT_DIGITS, "")
 
 
 def digits_struct(col: Column) -> Column:

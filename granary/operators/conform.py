@@ -27,27 +27,38 @@ WIDTH, NUL = "width", "nul"
 POLICIES = ("fail", "quarantine", "report")
 
 
-def _raw(name: str) -> Column:
-    return F.col(f"`{name}`")
+_TYPED = "_typed_"
+
+
+def _raw(field: T.StructField) -> Column:
+    return F.col(f"`{field.name}`")
+
+
+def _typed(field: T.StructField) -> Column:
+    return F.col(f"`{_TYPED}{field.name}`")
 
 
 def _shown(field: T.StructField) -> Column:
-    return strip(_raw(field.name)) if field.dataType in STRICT_CASTS else _raw(field.name)
+    return strip(_raw(field)) if field.dataType in STRICT_CASTS else _raw(field)
 
 
 def typed_value(field: T.StructField) -> Column:
     """The cell under its target type; null when empty or when it does not fit."""
-    raw = _raw(field.name)
-    cast = STRICT_CASTS.get(field.dataType)
-    return null_if_empty(raw) if cast is None else cast(raw)
+    cast = STRICT_CASTS.get(field.dataType, null_if_empty)
+    return cast(_raw(field))
+
+
+def with_typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Add the typed form of each cell, so that every check below refers to one evaluation."""
+    return df.select("*", *[typed_value(f).alias(_TYPED + f.name) for f in schema])
 
 
 def reason(field: T.StructField) -> Column:
-    """Why a cell does not fit, null when it does."""
-    raw = _raw(field.name)
+    """Why a cell does not fit, null when it does; needs :func:`with_typed`."""
+    raw = _raw(field)
     out = F.when(raw.isNull() | (raw == ""), F.lit(None)).when(raw.contains("\x00"), NUL)
     if field.dataType in STRICT_CASTS:
-        out = out.when(typed_value(field).isNull(), f"invalid {field.dataType.simpleString()}")
+        out = out.when(_typed(field).isNull(), f"invalid {field.dataType.simpleString()}")
     return out
 
 
@@ -55,36 +66,19 @@ def _wrong_width(df: DataFrame) -> Column:
     return F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
 
 
-def _is_bad(df: DataFrame, schema: T.StructType) -> Column:
-    return reduce(or_, [reason(f).isNotNull() for f in schema], _wrong_width(df))
-
-
 def violations(df: DataFrame, schema: T.StructType, order: Sequence[str] = ()) -> DataFrame:
     """One row per bad cell: ``order`` columns, ``position``, ``column``, ``reason``, ``value``.
 
-    A record of the wrong width gives one row at position 0 with its raw text.  Only bad rows reach
-    the array that is exploded.
+    A record of the wrong width gives one row at position 0 with its raw text and nothing else.
     """
-    def entry(position: int, name: Column, why: Column, value: Column) -> Column:
-        return F.struct(
-            F.lit(position).alias("position"),
-            name.alias("column"),
-            why.alias("reason"),
-            value.alias("value"),
-        )
-
-    cells = [
-        entry(i, F.lit(f.name), reason(f), _shown(f)) for i, f in enumerate(schema.fields, 1)
-    ]
-    found = F.filter(F.array(*cells), lambda c: c["reason"].isNotNull())
-    if CORRUPT in df.columns:
-        whole = entry(0, F.lit(CORRUPT), F.lit(WIDTH), F.col(CORRUPT))
-        found = F.when(_wrong_width(df), F.array(whole)).otherwise(found)
-    return (
-        df.where(_is_bad(df, schema))
-        .select(*order, F.explode(found).alias("bad"))
-        .select(*order, "bad.*")
-    )
+    wrong_width = _wrong_width(df)
+    cells = [F.lit(0), F.lit(CORRUPT), F.when(wrong_width, WIDTH),
+             F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")]
+    for position, field in enumerate(schema, 1):
+        why = F.when(~wrong_width, reason(field))
+        cells += [F.lit(position), F.lit(field.name), why, F.when(why.isNotNull(), _shown(field))]
+    entries = F.stack(F.lit(len(schema) + 1), *cells).alias("position", "column", "reason", "value")
+    return with_typed(df, schema).select(*order, entries).where(F.col("reason").isNotNull())
 
 
 def first_violation(df: DataFrame, schema: T.StructType, order: Sequence[str]) -> DataFrame:
@@ -98,31 +92,29 @@ def conform(
     """Typed rows under ``schema``, with the columns in ``keep`` carried along.
 
     ``fail``: the job stops at a bad cell.  ``quarantine``: rows with a bad cell are left out (see
-    :func:`violations` for them).  ``report``: all rows stay, bad cells are null.
+    :func:`violations` for them).  ``report``: all rows stay, cells that do not fit
+    their type are null.
     """
     if on_error not in POLICIES:
         raise ValueError(f"on_error must be one of {', '.join(POLICIES)}")
+    rows = with_typed(df, schema)
+    if on_error == "quarantine":
+        bad = reduce(or_, [reason(f).isNotNull() for f in schema], _wrong_width(df))
+        rows = rows.where(~bad)
+    elif on_error == "fail" and CORRUPT in df.columns:
+        message = F.concat(F.lit("record of the wrong width: "), F.col(CORRUPT))
+        stop = F.when(_wrong_width(df), F.raise_error(message).cast("boolean"))
+        rows = rows.where(stop.otherwise(True))
 
     def column(field: T.StructField) -> Column:
-        value = typed_value(field)
+        value = _typed(field)
         if on_error == "fail":
             why = reason(field)
-            message = F.concat(
-                F.lit(f"column {field.name}: "), why, F.lit(": "), F.coalesce(_shown(field), F.lit(""))
-            )
-            value = F.when(why.isNull(), value).otherwise(
-                F.raise_error(message).cast(field.dataType)
-            )
+            message = F.concat(F.lit(f"column {field.name}: "), why, F.lit(": "), _shown(field))
+            stop = F.raise_error(message).cast(field.dataType)
+            value = F.when(why.isNull(), value).otherwise(stop)
         return value.alias(field.name)
 
-    rows = df
-    if on_error == "quarantine":
-        rows = df.where(~_is_bad(df, schema))
-    elif on_error == "fail" and CORRUPT in df.columns:
-        message = F.concat(F.lit("record of the wrong width: "), F.col(CORRUPT))
-        rows = df.where(
-            F.when(_wrong_width(df), F.raise_error(message).cast("boolean")).otherwise(True)
-        )
     return rows.select(*[column(f) for f in schema], *keep)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from granary import catalog
 from granary.catalog import NutrientField
 from granary.functions.casts import lenient_double, lenient_long
-from granary.functions.rules import nutrient_key, nutrient_unit
 from granary.functions.text import digits_key, drop_nul, strip
 
 MODES = ("minimal", "all")
-LONG_PREFIX = "_v_"
+LONG_PREFIX, CLEAN_PREFIX, RAW_KJ = "_v_", "_c_", "_raw_kj"
 
 
 def fields_for(
@@ -49,34 +48,35 @@ def prefer(primary: Column, fallback: Column) -> Column:
     return F.coalesce(primary, fallback)
 
 
-def wide_values(df: DataFrame, fields: Sequence[NutrientField]) -> dict[str, Column]:
-    """Every wide nutrient column: typed, null where no chosen field feeds it.
+def clean_values(df: DataFrame, fields: Sequence[NutrientField]) -> dict[str, Column]:
+    """Every chosen raw cell as a number, null when empty or invalid."""
+    return {f.source_field: lenient_double(_cell(f.source_field, df.columns)) for f in fields}
+
+
+def wide_values(values: Mapping[str, Column]) -> dict[str, Column]:
+    """Every wide nutrient column from clean values, null where no chosen field feeds it.
 
     Two fields feed the kJ column; the dedicated one is preferred whatever the header order.
     """
-    chosen = {f.source_field for f in fields}
     out: dict[str, Column] = {}
     for column in catalog.WIDE_NUTRIENT_COLUMNS:
         feeding = [
-            lenient_double(_cell(f.source_field, df.columns))
+            values[f.source_field]
             for f in catalog.NUTRIENT_FIELDS
-            if f.wide_column == column and f.source_field in chosen
+            if f.wide_column == column and f.source_field in values
         ]
         out[column] = reduce(prefer, feeding) if feeding else F.lit(None).cast("double")
     return out
 
 
-def long_values(
-    df: DataFrame, fields: Sequence[NutrientField], mode: str
-) -> dict[str, Column]:
+def long_values(values: Mapping[str, Column], mode: str, raw_kj: Column) -> dict[str, Column]:
     """The value each field contributes as a long row, null for none.
 
     In minimal mode the general energy field gives way to any text in the kJ field, valid or not.
     """
-    out = {f.source_field: lenient_double(_cell(f.source_field, df.columns)) for f in fields}
+    out = dict(values)
     if mode == "minimal" and catalog.ENERGY_FIELD in out:
-        no_kj = _cell(catalog.ENERGY_KJ_FIELD, df.columns) == ""
-        out[catalog.ENERGY_FIELD] = F.when(no_kj, out[catalog.ENERGY_FIELD])
+        out[catalog.ENERGY_FIELD] = F.when(raw_kj == "", out[catalog.ENERGY_FIELD])
     return out
 
 
@@ -105,23 +105,13 @@ def unpivot_fields(
 ) -> DataFrame:
     """Raw wide text to ``(key, nutrient_key, value, unit, source_field)``."""
     fields = fields_for(mode, df.columns, include_salt)
-    values = long_values(df, fields, mode)
+    raw_kj = _cell(catalog.ENERGY_KJ_FIELD, df.columns)
+    values = long_values(clean_values(df, fields), mode, raw_kj)
     names = [LONG_PREFIX + f.source_field for f in fields]
-    typed = df.select(key, *[values[f.source_field].alias(n) for f, n in zip(fields, names, strict=True)])
-    return unpivot_values(typed, [key], fields, names)
-
-
-def unpivot_headers(df: DataFrame, key: str, headers: Sequence[str]) -> DataFrame:
-    """Unpivot any headers and name the result by rule, for headers not known in advance."""
-    typed = df.select(key, *[lenient_double(F.col(f"`{h}`")).alias(h) for h in headers])
-    long = typed.unpivot([key], list(headers), "source_field", "value")
-    return long.where(F.col("value").isNotNull()).select(
-        key,
-        nutrient_key(F.col("source_field")).alias("nutrient_key"),
-        "value",
-        nutrient_unit(F.col("source_field")).alias("unit"),
-        "source_field",
+    typed = df.select(
+        key, *[values[f.source_field].alias(n) for f, n in zip(fields, names, strict=True)]
     )
+    return unpivot_values(typed, [key], fields, names)
 
 
 def product_rows(
@@ -133,20 +123,30 @@ def product_rows(
     and stays ``''`` when empty; numbers are null when empty or invalid.
     """
     fields = fields_for(mode, df.columns, include_salt)
-    wide, long = wide_values(df, fields), long_values(df, fields, mode)
     names = [LONG_PREFIX + f.source_field for f in fields]
+    clean = {f.source_field: CLEAN_PREFIX + f.source_field for f in fields}
     code = strip(_cell(catalog.PRODUCT_KEY_FIELD, df.columns))
-    typed = df.select(
+    raw_kj = _cell(catalog.ENERGY_KJ_FIELD, df.columns)
+    # each cell is cleaned once; what is built from it below only refers to the result
+    once = df.select(
         digits_key(code).alias("code_norm"),
         code.alias("code_raw"),
         *[strip(_cell(c, df.columns)).alias(c) for c in catalog.PRODUCT_TEXT_FIELDS],
         lenient_long(_cell(catalog.PRODUCT_TIME_FIELD, df.columns)).alias(catalog.PRODUCT_TIME_FIELD),
+        *[v.alias(clean[f]) for f, v in clean_values(df, fields).items()],
+        raw_kj.alias(RAW_KJ),
+        *keep,
+    )
+    values = {f: F.col(f"`{c}`") for f, c in clean.items()}
+    wide, long = wide_values(values), long_values(values, mode, F.col(RAW_KJ))
+    typed = once.select(
+        "code_norm", "code_raw", *catalog.PRODUCT_TEXT_FIELDS, catalog.PRODUCT_TIME_FIELD,
         *[v.alias(c) for c, v in wide.items()],
         *[long[f.source_field].alias(n) for f, n in zip(fields, names, strict=True)],
+        emitted_rows(list(long.values())).alias("emitted"),
         *keep,
     )
-    emitted = emitted_rows([F.col(f"`{n}`") for n in names])
-    return typed.withColumn("emitted", emitted), fields, names
+    return typed, fields, names
 
 
 def product_table(rows: DataFrame) -> DataFrame:

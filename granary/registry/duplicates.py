@@ -33,6 +33,7 @@ from granary.registry.base import (
     table,
 )
 from granary.registry.reshape import sql_long_rows, sql_products, sql_value
+from granary.session import stage
 
 # codes with a hot value, empty values and one-off values
 _LINE_CODES = {
@@ -151,10 +152,15 @@ def _completeness_score(spark, sf_dir):
     )
 
 
-def _resolved(spark, sf_dir, dedupe="best", codes=None, max_rows=0):
+def _typed_export(spark, sf_dir):
+    """Typed rows of the export, staged as a load does when several steps use them."""
+    rows, _, _ = product_rows(product_export(spark, sf_dir), keep=EXPORT_ORDER)
+    return stage(rows.withColumn("piece", F.expr(EXPORT_BLOCK)), "export")
+
+
+def _resolved(spark, sf_dir, dedupe="best"):
     rows, fields, names = product_rows(product_export(spark, sf_dir), keep=EXPORT_ORDER)
-    pieced = rows.withColumn("piece", F.expr(EXPORT_BLOCK))
-    return resolve_rows(pieced, EXPORT_ORDER, dedupe, codes, max_rows, ("piece",)), fields, names
+    return resolve_rows(rows, EXPORT_ORDER, dedupe), fields, names
 
 
 @query("product_load", f"SELECT {_COLUMNS} FROM ({_BEST}) b")
@@ -185,9 +191,8 @@ _LISTED = f"""
 """
 
 
-def _listed(spark, sf_dir):
+def _listed(rows):
     """A code list that covers only some of the repeated codes."""
-    rows, _, _ = product_rows(product_export(spark, sf_dir))
     return duplicate_keys(rows, "code_norm").where(F.col("code").cast("bigint") % 2 == 0)
 
 
@@ -199,10 +204,9 @@ def _listed(spark, sf_dir):
     WHERE rn = 1 OR NOT resolved
 """)
 def _dedupe_listed(spark, sf_dir):
-    rows, _, _ = product_rows(product_export(spark, sf_dir), keep=EXPORT_ORDER)
-    kept = resolve_listed(
-        with_key(rows), _listed(spark, sf_dir), "code_norm", completeness_score(F.col("emitted")), EXPORT_ORDER
-    )
+    rows = _typed_export(spark, sf_dir)
+    score = completeness_score(F.col("emitted"))
+    kept = resolve_listed(with_key(rows), _listed(rows), "code_norm", score, EXPORT_ORDER)
     return kept.select("event_id", "code_norm", "resolved")
 
 
@@ -211,8 +215,8 @@ def _dedupe_listed(spark, sf_dir):
            count(*) AS rows FROM ({_TYPED}) t WHERE code_norm <> '' GROUP BY 1
 """)
 def _list_membership(spark, sf_dir):
-    rows, _, _ = product_rows(product_export(spark, sf_dir))
-    passed, deferred = split_by_list(with_key(rows), _listed(spark, sf_dir), "code_norm")
+    rows = _typed_export(spark, sf_dir)
+    passed, deferred = split_by_list(with_key(rows), _listed(rows), "code_norm")
     count = lambda df, kind: df.groupBy(F.lit(kind).alias("kind")).agg(F.count("*").alias("rows"))
     return count(passed, "passed").unionByName(count(deferred, "deferred"))
 
@@ -234,8 +238,10 @@ _CAP = f"""
 
 @query("row_cap", _CAP)
 def _row_cap(spark, sf_dir):
+    rows = _typed_export(spark, sf_dir)
     wanted = table(spark, sf_dir, "events").count() // 10
-    kept, _, _ = _resolved(spark, sf_dir, "none", _listed(spark, sf_dir), wanted)
+    codes = stage(_listed(rows), "listed")
+    kept = resolve_rows(rows, EXPORT_ORDER, "none", codes, wanted, ("piece",))
     return kept.select("event_id", "code_norm")
 
 

@@ -110,20 +110,18 @@ def _strict_scan(spark, sf_dir):
 
 
 @query("encoding_gate", """
-    SELECT count(*) + 1 AS lines, count(*) FILTER (event_id % 10 = 3) AS invalid_lines,
+    SELECT count(*) AS lines, count(*) FILTER (event_id % 10 = 3) AS invalid_lines,
            count(*) FILTER (event_id % 10 = 4) AS blank_lines, count(*) FILTER (event_id % 10 = 5) AS open_lines
     FROM events
 """)
 def _encoding_gate(spark, sf_dir):
-    """Line profile of a file with broken bytes, blank lines and unclosed quotes."""
+    """Line profile of files with broken bytes, blank lines and unclosed quotes."""
     cell = F.expr("""
         CASE event_id % 10 WHEN 3 THEN CAST(concat(encode(props, 'utf-8'), X'FF') AS STRING) WHEN 4 THEN ''
         WHEN 5 THEN '"open' ELSE event_type || chr(9) || '"a ""quoted"" cell"' END
     """)
-    lines = table(spark, sf_dir, "events").orderBy("event_id").select(cell.alias("value"))
     path = scratch_path(spark, "lines")
-    header = spark.createDataFrame([("code\tname",)], "value string")
-    header.unionByName(lines).coalesce(1).write.text(path)
+    table(spark, sf_dir, "events").select(cell.alias("value")).write.text(path)
     return profile_lines(spark, path, "\t", "code\tname").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("lines", "invalid_lines", "blank_lines", "open_lines")])
 
@@ -200,7 +198,7 @@ def _bundle_inventory(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     counts = documents.groupBy(F.col("source").alias("table")).agg(F.count("*").alias("expected_rows"))
     path = scratch_path(spark, "bundle")
-    documents.withColumn("part", F.col("source")).repartition("source").write.partitionBy("part").option("header", True).csv(path)
+    documents.withColumn("part", F.col("source")).write.partitionBy("part").option("header", True).csv(path)
     files = list_files(spark, f"{path}/*/*.csv").select(
         F.concat(F.regexp_extract("path", "part=([^/]*)/", 1), F.lit(".csv")).alias("path"), "length"
     ).groupBy("path").agg(F.sum("length").alias("length"))

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary import catalog
-from granary.functions import digits_key
+from granary.functions import digits_key, lenient_double
 from granary.operators.reshape import (
+    clean_values,
     fields_for,
     prefer,
     product_rows,
     unpivot_fields,
-    unpivot_headers,
     wide_values,
 )
-from granary.functions.casts import lenient_double
 from granary.registry.base import (
     EXPORT,
     EXPORT_SQL,
@@ -107,7 +106,7 @@ _PRICES = {
 """)
 def _unpivot_headers(spark, sf_dir):
     prices = derive(table(spark, sf_dir, "lineitem"), _PRICES)
-    return unpivot_headers(prices, "line", [c for c in _PRICES if c != "line"])
+    return unpivot_fields(prices, "line", "all")
 
 
 @query("wide_product", f"WITH e AS ({EXPORT_SQL}) SELECT event_id, {sql_products()} FROM e")
@@ -119,7 +118,7 @@ def _wide_product(spark, sf_dir):
 @query("wide_product_salt", f"WITH e AS ({EXPORT_SQL}) SELECT event_id, {sql_digits('code')} AS code_norm, {sql_wide(True)} FROM e")
 def _wide_product_salt(spark, sf_dir):
     export = product_export(spark, sf_dir)
-    wide = wide_values(export, fields_for("minimal", include_salt=True))
+    wide = wide_values(clean_values(export, fields_for("minimal", include_salt=True)))
     return export.select(
         "event_id", digits_key(F.col("code")).alias("code_norm"), *[v.alias(c) for c, v in wide.items()]
     )

@@ -9,6 +9,13 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    # The JVM does not compile methods above 8000 bytes of code.  A projection that cleans dozens of
+    # cells gets larger as one fused loop, and is faster as separate methods that are compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -17,8 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName("granary")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=SETTINGS)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
