@@ -20,11 +20,11 @@ def event_rows(df: DataFrame, event: Column | str, fields: Mapping[str, Column])
 
 
 def job_events(spark: SparkSession, events: Sequence[tuple[str, Mapping[str, object]]]) -> DataFrame:
-    """Events of one job run (a handful of rows known to the driver)."""
+    """Events of one job run, a handful of rows known to the driver, in one ordered file."""
     rows = [
         (name, {k: str(v) for k, v in fields.items() if v is not None}) for name, fields in events
     ]
-    return spark.createDataFrame(rows, EVENT_SCHEMA)
+    return spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1)
 
 
 def log_events(events: DataFrame, path: str, fmt: str = "jsonl") -> None:

@@ -13,7 +13,7 @@ from granary import catalog
 from granary.functions.rules import identifier, infer_schema, primary_key, unique_identifiers
 from granary.functions.text import normalize_identifier
 from granary.sources.delimited import COMMA, read_delimited, read_header
-from granary.sources.files import list_files
+from granary.sources.files import file_names
 
 CSV_SUFFIX = ".csv"
 
@@ -72,9 +72,9 @@ def bundle_sources(
 ) -> list[TableSource]:
     """The selected tables of a bundle in load order."""
     paths = {
-        identifier(_file_name(r["path"]).removesuffix(CSV_SUFFIX)): r["path"]
-        for r in list_files(spark, csv_dir, "*" + CSV_SUFFIX).collect()
-        if _file_name(r["path"]) != catalog.RECORD_COUNT_FILE
+        identifier(_file_name(path).removesuffix(CSV_SUFFIX)): path
+        for path in file_names(spark, csv_dir, "*" + CSV_SUFFIX)
+        if _file_name(path) != catalog.RECORD_COUNT_FILE
     }
     if not paths:
         raise ValueError(f"no CSV file in {csv_dir}")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions.text import BOM
-from granary.sources.files import list_files
+from granary.sources.files import file_names
 
 TAB, COMMA = "\t", ","
 MAX_CELL_CHARS = 2_000_000  # fixed value: default size limit of a cell
@@ -51,12 +51,12 @@ def choose_delimiter(header_line: str, requested: str = TAB) -> tuple[str, str]:
 
 def read_header_line(spark: SparkSession, path: str | Sequence[str]) -> str:
     """First line of the first file, without byte-order marks."""
-    files = list_files(spark, path).orderBy("path").limit(1).collect()
+    files = file_names(spark, path)
     if not files:
         raise InputError(f"no input file at {path}")
-    first = spark.read.text(files[0]["path"]).first()
-    if first is None or files[0]["length"] == 0:
-        raise InputError(f"the file is empty: {files[0]['path']}")
+    first = spark.read.text(files[0]).first()
+    if first is None:
+        raise InputError(f"the file is empty: {files[0]}")
     return first["value"].lstrip(BOM)
 
 
@@ -109,7 +109,7 @@ def profile_lines(
 
 def _cannot_split(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether all files are gzip, which one task each reads in any case."""
-    return list_files(spark, path).where(~F.col("path").endswith(".gz")).isEmpty()
+    return all(name.endswith(".gz") for name in file_names(spark, path))
 
 
 def _positional(width: int) -> list[str]:

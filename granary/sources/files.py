@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> DataFrame:
-    """Path and size of the files at ``path``; contents are not read."""
+    """Path and size of the files at ``path`` that are not empty; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .load(path)
         .select("path", "length")
     )
+
+
+def file_names(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> list[str]:
+    """Sorted paths of the files at ``path``, empty files included."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return sorted(map(unquote, listing.inputFiles()))
