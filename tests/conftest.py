@@ -10,7 +10,7 @@ from granary.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, 8)
+    session = local_session(8, 2)
     yield session
     session.stop()
 
