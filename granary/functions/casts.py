@@ -15,8 +15,7 @@ from granary.functions.text import strip
 LONG_PATTERN = r"^-?[0-9]+$"
 DOUBLE_PATTERN = r"^-?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE]-?[0-9]+)?$"
 LENIENT_DOUBLE_PATTERN = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-INFINITY_PATTERN = r"^[+-]?(?:inf|infinity)$"
-NAN_PATTERN = r"^[+-]?nan$"
+SPECIAL_DOUBLE_PATTERN = r"^[+-]?(?:inf|infinity|nan)$"
 ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 SLASH_DATE_PATTERN = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
 
@@ -48,9 +47,11 @@ def lenient_double(col: Column) -> Column:
     return (
         F.when(col == "", F.lit(None))  # most cells of a wide export are empty, most others plain
         .when(col.rlike(LENIENT_DOUBLE_PATTERN), col.try_cast("double"))
-        .when(text.rlike(LENIENT_DOUBLE_PATTERN), text.try_cast("double"))
-        .when(lowered.rlike(INFINITY_PATTERN), lowered.try_cast("double"))
-        .when(lowered.rlike(NAN_PATTERN), F.lit(float("nan")))
+        .when((text != col) & text.rlike(LENIENT_DOUBLE_PATTERN), text.try_cast("double"))
+        .when(
+            lowered.rlike(SPECIAL_DOUBLE_PATTERN),
+            F.when(lowered.endswith("nan"), F.lit(float("nan"))).otherwise(lowered.try_cast("double")),
+        )
     )
 
 

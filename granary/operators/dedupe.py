@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from granary import catalog
 
-_RANK = "_rank"
+_RANK, _SALT = "_rank", "_salt"
+SALTS = 16
 SCORE_FIELDS = (*catalog.PRODUCT_TEXT_FIELDS, catalog.PRODUCT_TIME_FIELD)
 
 
@@ -87,10 +88,21 @@ def completeness_score(
     ]
 
 
-def split_by_list(df: DataFrame, codes: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key is not in the list, and rows whose key is."""
-    match = F.col(key) == F.col("code")
-    return df.join(codes, match, "left_anti"), df.join(codes, match, "left_semi")
+def split_by_list(
+    df: DataFrame, codes: DataFrame, key: str, order: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is not in the list, and rows whose key is.
+
+    Rows of a key are spread over salts by their position and the list is repeated per salt, so a
+    key that fills a large part of the table is checked by many tasks.
+    """
+    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    listed = codes.select("code", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    match = (F.col(key) == F.col("code")) & (F.col(_SALT) == F.col("salt"))
+    return (
+        salted.join(listed, match, "left_anti").drop(_SALT),
+        salted.join(listed, match, "left_semi").drop(_SALT),
+    )
 
 
 def resolve_listed(
@@ -101,7 +113,7 @@ def resolve_listed(
     With a complete list this equals :func:`keep_best`, which needs one shuffle less.
     ``resolved`` tells the two kinds apart.
     """
-    passed, listed = split_by_list(df, codes, key)
+    passed, listed = split_by_list(df, codes, key, order)
     return passed.withColumn("resolved", F.lit(False)).unionByName(
         keep_best(listed, key, score, order).withColumn("resolved", F.lit(True))
     )

@@ -267,6 +267,12 @@ MAX_DICTIONARY_CHARS = 32 * 1024 * 1024
 NO_BREAK_SPACE = "\u00a0"
 
 
+def _dictionary_text(dictionary: str) -> str:
+    if len(dictionary) > MAX_DICTIONARY_CHARS:
+        raise ValueError(f"a dictionary may hold {MAX_DICTIONARY_CHARS} characters")
+    return dictionary
+
+
 def dictionary_coverage(
     inventory: DataFrame, dictionary: str, table: str = "table", header: str = "header"
 ) -> DataFrame:
@@ -275,9 +281,7 @@ def dictionary_coverage(
     The dictionary is one document and travels with the plan, so its size is checked.  Blank
     headers are left out.
     """
-    if len(dictionary) > MAX_DICTIONARY_CHARS:
-        raise ValueError(f"a dictionary may hold {MAX_DICTIONARY_CHARS} characters")
-    text = dictionary.replace(NO_BREAK_SPACE, " ")
+    text = _dictionary_text(dictionary).replace(NO_BREAK_SPACE, " ")
     token = strip(F.col(header))
     words = F.array_distinct(F.split(F.lit(text), r"(?U)\W+"))
     return inventory.where(token != "").select(
@@ -287,6 +291,12 @@ def dictionary_coverage(
     )
 
 
+def tables_not_mentioned(inventory: DataFrame, dictionary: str, table: str = "table") -> DataFrame:
+    """Tables whose name the dictionary mentions nowhere, not even inside a word."""
+    text = F.lit(_dictionary_text(dictionary))
+    return inventory.select(table).distinct().where(~text.contains(F.col(table)))
+
+
 def coverage_by_table(coverage: DataFrame, table: str = "table") -> DataFrame:
     """``(table, table_found, missing_headers)``."""
     return coverage.groupBy(table).agg(

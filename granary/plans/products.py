@@ -85,13 +85,13 @@ def resolve_rows(
     score = completeness_score(F.col("emitted"))
     if dedupe == "memory":
         first = keep_first(keyed, "code_norm", order)
-        counted = first if codes is None else split_by_list(first, codes, "code_norm")[0]
+        counted = first if codes is None else split_by_list(first, codes, "code_norm", order)[0]
         return row_cap(first, counted, order, max_rows, pieces)
     if dedupe == "best":
         return keep_best(keyed, "code_norm", score, order)
     if codes is None:
         return row_cap(keyed, keyed, order, max_rows, pieces)
-    passed, _ = split_by_list(keyed, codes, "code_norm")
+    passed, _ = split_by_list(keyed, codes, "code_norm", order)
     read = row_cap(keyed, passed, order, max_rows, pieces)
     return resolve_listed(read, codes, "code_norm", score, order).drop("resolved")
 

@@ -102,7 +102,7 @@ _SCORED = """
 
 @query("dedupe_best", _SCORED)
 def _dedupe_best(spark, sf_dir):
-    minute = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000) % 100
+    minute = F.expr("timestampdiff(MINUTE, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)") % 100
     filled = (F.col("value") > 20).cast("int") + (F.col("event_type") != "error").cast("int")
     events = table(spark, sf_dir, "events")
     best = keep_best(events, "user_id", [minute, filled], ["event_id"])
@@ -216,7 +216,7 @@ def _dedupe_listed(spark, sf_dir):
 """)
 def _list_membership(spark, sf_dir):
     rows = _typed_export(spark, sf_dir)
-    passed, deferred = split_by_list(with_key(rows), _listed(rows), "code_norm")
+    passed, deferred = split_by_list(with_key(rows), _listed(rows), "code_norm", EXPORT_ORDER)
     count = lambda df, kind: df.groupBy(F.lit(kind).alias("kind")).agg(F.count("*").alias("rows"))
     return count(passed, "passed").unionByName(count(deferred, "deferred"))
 

@@ -9,7 +9,8 @@ from granary.operators.reshape import nutrient_table, product_rows, product_tabl
 from granary.registry.base import EXPORT_SQL, product_export, query, table
 from granary.registry.duplicates import _BEST, _COLUMNS
 from granary.registry.reshape import sql_long_rows
-from granary.session import scratch_path
+from granary.session import scratch_path, stage
+from granary.sources.delimited import read_delimited, record_numbers
 from granary.streaming.incremental import (
     compact,
     current_rows,
@@ -40,6 +41,23 @@ def _incremental_load(spark, sf_dir):
     return read_target(spark, target, events.schema).select(*events.columns)
 
 
+@query("resume_load", "SELECT event_id, user_id, event_type, props FROM events")
+def _resume_load(spark, sf_dir):
+    """A load that stopped after a third of the records goes on behind them."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    source, target = scratch_path(spark, "resume-source"), scratch_path(spark, "resumed")
+    events.write.option("header", True).option("sep", "\t").option("escape", '"').csv(source)
+    scan = record_numbers(stage(read_delimited(spark, source, with_order=True), "resume-scan"))
+    rows = scan.select(
+        F.col("event_id").cast("bigint").alias("event_id"), F.col("user_id").cast("bigint").alias("user_id"),
+        "event_type", "props", "record_number",
+    )
+    rows.where(F.col("record_number") <= scan.count() / 3).write.parquet(target)
+    loaded = spark.read.parquet(target).count()
+    rows.where(F.col("record_number") > loaded + 1).write.mode("append").parquet(target)
+    return spark.read.schema(events.schema).parquet(target)
+
+
 def _versions(spark, sf_dir):
     """Product versions loaded in two deliveries; returns what reads them back."""
     rows, fields, names = product_rows(product_export(spark, sf_dir), keep=["event_id"])

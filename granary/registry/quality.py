@@ -19,6 +19,7 @@ from granary.operators.quality import (
     reconcile_counts,
     repeated_keys,
     row_counts,
+    tables_not_mentioned,
     throughput,
     top_missing,
     without_null,
@@ -295,6 +296,15 @@ def _dictionary_gaps(spark, sf_dir):
     return coverage_by_table(dictionary_coverage(_inventory(spark, sf_dir), _dictionary(spark, sf_dir)))
 
 
+@query("dictionary_tables", f"""
+    SELECT DISTINCT o."table" FROM ({select_sql(_TOKENS, "orders")}) o, ({_DICTIONARY_SQL}) d
+    WHERE NOT contains(d.text, o."table")
+""")
+def _dictionary_tables(spark, sf_dir):
+    inventory = derive(table(spark, sf_dir, "orders"), _TOKENS)
+    return tables_not_mentioned(inventory, _dictionary(spark, sf_dir))
+
+
 @query("identity_gate", """
     SELECT d.doc_id, sha256(d.text) AS file_sha256, octet_length(encode(d.text)) AS file_bytes,
            CASE WHEN l.doc_id IS NULL THEN 'no manifest'
