@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from granary import catalog
 from granary.operators.dedupe import (
     completeness_score,
+    duplicate_keys,
     keep_best,
     keep_first,
     resolve_listed,
@@ -87,8 +88,10 @@ def resolve_rows(
         first = keep_first(keyed, "code_norm", order)
         counted = first if codes is None else split_by_list(first, codes, "code_norm", order)[0]
         return row_cap(first, counted, order, max_rows, pieces)
-    if dedupe == "best":
+    if dedupe == "best" and not max_rows:
         return keep_best(keyed, "code_norm", score, order)
+    if dedupe == "best":
+        codes = duplicate_keys(keyed, "code_norm")  # the cap counts rows of unrepeated codes only
     if codes is None:
         return row_cap(keyed, keyed, order, max_rows, pieces)
     passed, _ = split_by_list(keyed, codes, "code_norm", order)
@@ -122,9 +125,10 @@ def load_products(
 
 def _resolve_path(manifest_path: str, listed: str) -> str:
     """A code list path from a manifest is relative to the manifest's folder."""
+    folder, slash, _ = manifest_path.rstrip("/").rpartition("/")
     if listed.startswith("/") or ":/" in listed:
         return listed
-    return f"{manifest_path.rstrip('/').rsplit('/', 1)[0]}/{listed}"
+    return f"{folder}{slash}{listed}"
 
 
 def import_products(

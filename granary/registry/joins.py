@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from granary.operators.enrich import browse, extend, label, lookup, match_by_digits
@@ -9,6 +11,7 @@ from granary.registry.base import as_text, derive, query, select_sql, sql_digits
 from granary.registry.duplicates import _BEST, product_load
 from granary.session import scratch_path
 from granary.sinks.layout import write_layout
+from granary.sinks.tables import create_database, read_table, write_bucketed
 
 
 @query("label_join", """
@@ -58,6 +61,22 @@ def _decode_join(spark, sf_dir):
                  {"quality": "quality", "toxic": "toxic"})
 
 
+@query("bucketed_join", """
+    SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, o.o_custkey AS custkey, o.o_orderstatus AS status
+    FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
+""")
+def _bucketed_join(spark, sf_dir):
+    """A large table labelled from another large one, both bucketed by the join key."""
+    db = f"bucketed_{uuid.uuid4().hex}"
+    create_database(spark, db, scratch_path(spark, "bucketed"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_bucketed(lines, db, "lines", "l_orderkey", 16)
+    write_bucketed(orders, db, "orders", "o_orderkey", 16)
+    return label(read_table(spark, db, "lines"), read_table(spark, db, "orders"), {"l_orderkey": "o_orderkey"},
+                 {"o_custkey": "custkey", "o_orderstatus": "status"})
+
+
 _MEALS = {
     "l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", "l_quantity": "l_quantity",
     "meal": "l_partkey",

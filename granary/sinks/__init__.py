@@ -9,11 +9,12 @@ from granary.sinks.tables import (
     snapshot_schema,
     table_ddl,
     truncate_table,
+    write_bucketed,
     write_table,
 )
 
 __all__ = [
     "append_provenance", "create_database", "drop_database", "event_rows", "log_events",
     "read_table", "select_access_paths", "snapshot_schema", "table_ddl", "truncate_table",
-    "write_code_list", "write_layout", "write_manifest", "write_table",
+    "write_bucketed", "write_code_list", "write_layout", "write_manifest", "write_table",
 ]

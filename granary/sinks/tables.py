@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary import catalog
+from granary.session import stage
 from granary.sources.tables import list_tables
 
 MODES = ("append", "overwrite")
+HOT_BUCKETS = 4  # how many average buckets one value may fill
 
 
 def _name(database: str, table: str) -> str:
@@ -45,12 +48,13 @@ def _database_location(spark: SparkSession, database: str) -> str:
 
 def write_table(
     df: DataFrame, database: str, table: str, *, mode: str = "append",
-    partition_by: tuple[str, ...] = (),
+    partition_by: tuple[str, ...] = (), check: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Append rows, or replace the table's contents, matching columns by name.
 
     A replacement is written to a new folder first and the table is pointed to it when the job has
-    committed, so a failed load leaves the old rows in place.
+    committed, so a failed load leaves the old rows in place.  ``check`` sees the rows the table is
+    about to hold, already written, and raises to refuse them.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
@@ -58,14 +62,20 @@ def write_table(
     name = _name(database, table)
     exists = spark.catalog.tableExists(name)
     if mode == "append" and exists:
-        columns = spark.table(name).columns
-        df.select(*[F.col(f"`{c}`") for c in columns]).write.insertInto(name)
+        old = spark.table(name)
+        rows = df.select(*[F.col(f"`{c}`") for c in old.columns])
+        if check is not None:
+            rows = stage(rows, table)
+            check(old.unionByName(rows))
+        rows.write.insertInto(name)
         return
     path = f"{_database_location(spark, database)}/{table}-{uuid.uuid4().hex}"
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+    if check is not None:
+        check(spark.read.schema(df.schema).parquet(path))
     if exists:
         spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path, "parquet")
@@ -73,6 +83,32 @@ def write_table(
         spark.catalog.recoverPartitions(name)
 
 
+def write_bucketed(
+    df: DataFrame, database: str, table: str, column: str, buckets: int
+) -> bool:
+    """A new table bucketed and sorted by a join column; says whether it was bucketed.
+
+    Two tables with equal buckets join on the column without a shuffle, but a bucket is read by one
+    task.  So the hottest value is measured first: when it would outgrow a few average buckets the
+    table is written plainly, and its joins are shuffled and split by adaptive execution.
+    """
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    size = counts.agg(F.max("n").alias("hottest"), F.sum("n").alias("rows")).first()
+    if (size["hottest"] or 0) * buckets > HOT_BUCKETS * (size["rows"] or 0):
+        write_table(df, database, table)
+        return False
+    path = f"{_database_location(df.sparkSession, database)}/{table}-{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, column)
+        .write.format("parquet")
+        .bucketBy(buckets, column)
+        .sortBy(column)
+        .option("path", path)
+        .saveAsTable(_name(database, table))
+    )
+    return True
+
+
 def truncate_table(spark: SparkSession, database: str, table: str) -> None:
     """Replace the contents by nothing."""
     empty = spark.createDataFrame([], read_table(spark, database, table).schema)

@@ -173,6 +173,7 @@ def test_resume_and_reconcile(spark, bundle, database, tmp_path):
     write_csv(bundle, "food", rows)
     with pytest.raises(GateError, match="nutrient: key id"):
         load(check_keys=True)  # a second full load repeats keys
+    assert spark.table(f"{database}.nutrient").count() == 1
     load(truncate=True)
     assert spark.table(f"{database}.food").count() == 4
     write_csv(bundle, "food", rows + [["5", "branded_food", "Newer", "", ""]])

@@ -11,7 +11,16 @@ from granary.operators.dedupe import (
     row_cap,
 )
 from granary.sinks.layout import write_layout
-from granary.sinks.tables import create_database, create_table, read_table, snapshot_schema, write_table
+from granary.operators.enrich import label
+from granary.operators.quality import GateError, gate_unique
+from granary.sinks.tables import (
+    create_database,
+    create_table,
+    read_table,
+    snapshot_schema,
+    write_bucketed,
+    write_table,
+)
 from granary.sources.delimited import SOURCE_ORDER, read_delimited, record_numbers
 from granary.sources.fingerprint import fingerprint
 from granary.session import stage
@@ -146,3 +155,31 @@ def test_replace_is_all_or_nothing(spark, tmp_path, database):
         ("id", "bigint"), ("t", "string")]
     with pytest.raises(ValueError):
         write_table(rows, database, "x", mode="merge")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, database):
+    hot = spark.range(500).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    assert not write_bucketed(hot, database, "hot", "k", 64)
+    assert read_table(spark, database, "hot").count() == 500
+    assert write_bucketed(spark.range(500).select(F.col("id").alias("k"), F.lit(1).alias("x")), database, "a", "k", 4)
+    write_bucketed(spark.range(500).select(F.col("id").alias("k"), F.lit(2).alias("y")), database, "b", "k", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = label(read_table(spark, database, "a"), read_table(spark, database, "b"), {"k": "k"}, {"y": "y"})
+        assert joined.where("y = 2").count() == 500
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_refused_rows_do_not_show(spark, database):
+    rows = spark.createDataFrame([(1,), (2,)], "id long")
+    create_table(spark, database, "k", rows.schema)
+    check = lambda r: gate_unique(r, ["id"], "k")
+    write_table(rows, database, "k", mode="overwrite", check=check)
+    for mode in ("append", "overwrite"):
+        with pytest.raises(GateError):
+            write_table(rows.union(rows), database, "k", mode=mode, check=check)
+    with pytest.raises(GateError):
+        write_table(rows.limit(1), database, "k", check=check)
+    assert sorted(r["id"] for r in read_table(spark, database, "k").collect()) == [1, 2]

@@ -172,6 +172,9 @@ def test_row_cap_reads_no_further(spark, tmp_path, database):
     expected = set(kept) | {name for name, _ in best.values()}
     import_products(spark, path, database, preflight_manifest=manifest, max_rows=6)
     assert {r["product_name"] for r in spark.table(f"{database}.product_raw").collect()} == expected
+    import_products(spark, path, database, expected_sha256=read_manifest(spark, manifest)["file_sha256"],
+                    max_rows=6, dedupe="best", truncate=True)
+    assert {r["product_name"] for r in spark.table(f"{database}.product_raw").collect()} == expected
     import_products(spark, path, database, preflight_manifest=_manifest(
         tmp_path, {**read_manifest(spark, manifest), "duplicate_codes_path": None}),
         max_rows=6, dedupe="memory", truncate=True)
