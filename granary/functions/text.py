@@ -26,10 +26,11 @@ def _regex_ranges(ranges: str) -> str:
     return "".join("-".join(rf"\x{{{end}}}" for end in pair) for pair in ends)
 
 
-# runs of plain ASCII first: the full class is slow and only needed for what lies beyond ASCII
+# a run of anything but digits; ASCII is tested on its own, since the full class is slow, and nothing
+# is given back, so long texts need no stack
 NOT_DIGITS = (
-    r"[\x00-\x2F\x3A-\x7F]+"
-    rf"|(?![\x00-\x7F])[^\p{{Nd}}{_regex_ranges(OTHER_DIGITS)}]+"
+    r"(?:[\x00-\x2F\x3A-\x7F]++"
+    rf"|[^\x00-\x7F\p{{Nd}}{_regex_ranges(OTHER_DIGITS)}]++)++"
 )
 BOM = "\ufeff"
 
