@@ -22,7 +22,7 @@ from granary.sources.delimited import (
     read_header,
     read_header_line,
 )
-from granary.sources.fingerprint import fingerprint
+from granary.sources.fingerprint import combined_fingerprint, fingerprint
 
 FORMAT_VERSION = 1
 SAMPLES = 20  # fixed value: default number of duplicate samples
@@ -68,7 +68,7 @@ def preflight_products(
     log_format: str = "text",
 ) -> DataFrame:
     """Write the manifest (and the duplicate list) of an export; returns the manifest row."""
-    file = fingerprint(spark, path).first()
+    file = combined_fingerprint(fingerprint(spark, path)).first()
     used, detected = choose_delimiter(read_header_line(spark, path), delimiter)
     started = time.time()
     codes = stage(product_codes(spark, path, used, max_chars, encoding_errors), "codes")

@@ -48,7 +48,7 @@ from granary.sources.delimited import (
     read_header,
     read_header_line,
 )
-from granary.sources.fingerprint import fingerprint
+from granary.sources.fingerprint import combined_fingerprint, fingerprint
 from granary.sources.manifest import ManifestError, read_code_list, read_manifest
 
 PRODUCTS, NUTRIENTS, PROVENANCE = "product_raw", "nutrient_100g", "import_metadata"
@@ -159,8 +159,8 @@ def import_products(
     if dedupe not in DEDUPE:
         raise ValueError(f"dedupe must be one of {', '.join(DEDUPE)}")
     started = time.time()
-    file = fingerprint(spark, path).first()
-    if file is None:
+    file = combined_fingerprint(fingerprint(spark, path)).first()
+    if file["files"] == 0:
         raise InputError(f"no input file at {path}")
     manifest = read_manifest(spark, preflight_manifest) if preflight_manifest else None
     has_duplicates = gate_identity(

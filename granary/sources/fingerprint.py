@@ -68,3 +68,20 @@ def fingerprint(
         .mapInPandas(_streamed, FINGERPRINT_SCHEMA)
     )
     return small.unionByName(large)
+
+
+def combined_fingerprint(files: DataFrame) -> DataFrame:
+    """One row for an input of one or more files: ``file_sha256``, ``file_bytes``, ``files``.
+
+    One file keeps its own digest; several give the digest of their digests in path order.
+    """
+    digests = F.array_sort(F.collect_list(F.struct("path", "file_sha256")))["file_sha256"]
+    total = files.agg(
+        digests.alias("digests"), F.sum("file_bytes").alias("file_bytes"), F.count("*").alias("files")
+    )
+    joined = F.sha2(F.array_join("digests", "\n"), 256)
+    return total.select(
+        F.when(F.col("files") == 1, F.col("digests")[0]).otherwise(joined).alias("file_sha256"),
+        "file_bytes",
+        "files",
+    )

@@ -182,6 +182,21 @@ def test_row_cap_reads_no_further(spark, tmp_path, database):
     assert {r["code_norm"] for r in spark.table(f"{database}.product_raw").collect()} == set(firsts)
 
 
+def test_export_in_several_files(spark, tmp_path, database):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write_rows(folder / "a.tsv", SCORED[:3])
+    write_rows(folder / "b.tsv", [SCORED[0], *SCORED[3:]])
+    manifest, row = preflight(spark, str(folder), tmp_path, duplicate_codes_out=str(tmp_path / "codes"))
+    assert (row["code_total"], row["duplicate_occurrences"]) == (4, 2)
+    assert row["file_bytes"] == sum(f.stat().st_size for f in folder.iterdir())
+    totals = import_products(spark, str(folder), database, preflight_manifest=manifest).first()
+    assert (totals["products"], totals["nutrients"]) == (2, 10)
+    write_rows(folder / "b.tsv", SCORED)
+    with pytest.raises(GateError, match="SHA-256"):
+        import_products(spark, str(folder), database, preflight_manifest=manifest)
+
+
 def test_bad_inputs(spark, tmp_path, database):
     path = write_rows(tmp_path / "nocode.tsv", [["kode", "x"], ["1", "2"]])
     with pytest.raises(InputError, match="no column code"):
