@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
@@ -34,6 +35,37 @@ def byte_alphabet() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class KeyTable:
+    """Positions of known keys, looked up for whole arrays: one slot per key by a multiplied hash, and a
+    binary search for the few keys whose slot is shared."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys  # sorted, unique, not negative
+        bits = max(8, int(len(keys) * 4).bit_length())
+        self.shift = np.uint64(64 - bits)
+        home = self._home(keys)
+        self.slot = np.full(1 << bits, -1, dtype=np.int32)
+        self.slot[home] = np.arange(len(keys))
+        self.shared = np.bincount(home, minlength=1 << bits) > 1
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each wanted key among the keys; -1 where it is not one."""
+        if not len(self.keys):
+            return np.full(len(wanted), -1, dtype=np.int64)
+        home = self._home(wanted)
+        at = self.slot[home].astype(np.int64)
+        missed = self.keys[at] != wanted  # an empty slot compares with the last key
+        again = np.flatnonzero(missed & self.shared[home])
+        at[missed] = -1
+        if len(again):
+            place = np.minimum(np.searchsorted(self.keys, wanted[again]), len(self.keys) - 1)
+            at[again] = np.where(self.keys[place] == wanted[again], place, -1)
+        return at
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary file of the tokenizers library.
 
@@ -55,6 +87,8 @@ class Vocabulary:
         self.special: dict[str, int] = {a["content"]: a["id"] for a in added}
         self.tokens: dict[int, str] = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self._read_merges([m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
+        if self.suffix and spec["decoder"] is not None:
+            raise ValueError("a decoder beside an end mark of words is not supported")
         self.lower = '"Lowercase"' in json.dumps(spec["normalizer"])
         self.composed = '"NFC"' in json.dumps(spec["normalizer"])
         self.pattern = common_pattern(_pattern(spec["pre_tokenizer"]))
@@ -65,6 +99,8 @@ class Vocabulary:
         self.library.no_padding()
         self.alphabet = byte_alphabet()
         self.byte_of = {c: b for b, c in enumerate(self.alphabet)}
+        self.byte_ids = np.array([self.ids[c] for c in self.alphabet], dtype=np.int64)
+        self.last_byte_ids = np.array([self.ids[c + self.suffix] for c in self.alphabet], dtype=np.int64)
 
     def _read_merges(self, merges: list[list[str]]) -> None:
         ids, size = self.ids, max(self.ids.values()) + 1
@@ -74,7 +110,8 @@ class Vocabulary:
         rank = np.arange(len(merges), dtype=np.int64)
         keys = left << 32 | right
         order = np.argsort(keys, kind="stable")
-        self.keys, self.key_rank, self.key_made = keys[order], rank[order], made[order].astype(np.int64)
+        self.table = KeyTable(keys[order])
+        self.key_rank, self.key_made = rank[order], made[order].astype(np.int64)
         #: Rank and parts of each token; -1 where no merge makes it.
         self.rank = np.full(size, -1, dtype=np.int64)
         self.left = np.full(size, -1, dtype=np.int64)
@@ -86,21 +123,23 @@ class Vocabulary:
             raise ValueError("a merge comes before a merge that makes one of its parts")
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The position of each pair in the sorted merge table; -1 where there is none."""
-        wanted = left << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, at, -1)
+        """The place of each pair in the sorted merge table; -1 where there is none."""
+        return self.table.find(left << 32 | right)
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         at = self.lookup(left, right)
         return np.where(at >= 0, self.key_rank[at], NO_MERGE)
 
-    def symbols(self, piece: str) -> list[int]:
-        """The ids of the single bytes of a piece, the last one with the end mark of words."""
-        shown = [self.alphabet[b] for b in piece.encode()]
-        if self.suffix:
-            shown[-1] += self.suffix
-        return [self.ids[c] for c in shown]
+    def symbols(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the single bytes of non-empty pieces, the last of each with the end mark of words,
+        and their numbers."""
+        raw = [p.encode() for p in pieces]
+        lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        flat = self.byte_ids[data]
+        ends = np.cumsum(lengths) - 1
+        flat[ends] = self.last_byte_ids[data[ends]]
+        return flat, lengths
 
     def parts(self, text: str) -> list[str]:
         """Ordinary text at even places, special tokens between."""
@@ -110,19 +149,15 @@ class Vocabulary:
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The pieces of ordinary text that are merged on their own, in lists of bounded size."""
-        if not text.isascii() and np.frombuffer(text.encode("utf-16-le"), dtype="<u2").max() >= COMMON_END:
+        plain = unicodedata.normalize("NFC", text) if self.composed and not text.isascii() else text
+        if _beyond_common(text) or _beyond_common(plain):
             shown = self.library.pre_tokenizer.pre_tokenize_str(
                 self.library.normalizer.normalize_str(text) if self.library.normalizer else text
             )
             yield [bytes(map(self.byte_of.__getitem__, s)).decode() for s, _ in shown]
             return
-        if self.composed and not text.isascii():
-            import unicodedata
-
-            text = unicodedata.normalize("NFC", text)
-        if self.lower:
-            # Lower case of single letters: a capital sigma at the end of a word is no exception.
-            text = text.replace("Σ", "σ").lower()
+        # Lower case of single letters: a capital sigma at the end of a word is no exception.
+        text = plain.replace("Σ", "σ").lower() if self.lower else plain
         if len(text) <= PIECES:
             yield self.pattern.findall(text)
             return
@@ -144,6 +179,10 @@ def _pattern(spec: dict) -> str:
     raise ValueError(f"a pre-tokenizer that is not supported: {kinds}")
 
 
+def _beyond_common(text: str) -> bool:
+    return not text.isascii() and np.frombuffer(text.encode("utf-16-le"), dtype="<u2").max() >= COMMON_END
+
+
 def common_pattern(pattern: str) -> re.Pattern:
     """A splitting pattern for texts below ``COMMON_END``, its classes spelt out as ranges."""
     letters, digits, spaces = (_ranges(p) for p in (r"\p{L}", r"\p{N}", r"\s"))
@@ -194,12 +233,12 @@ def merge_rounds(vocab: Vocabulary, symbols: np.ndarray, lengths: np.ndarray) ->
         done_owner.append(np.full(len(merged), i))
     short = np.repeat(lengths <= LONG, lengths)
     symbols, owner = symbols[short], owner[short]
+    same = np.flatnonzero(owner[1:] == owner[:-1])
+    at = np.full(len(symbols), -1, dtype=np.int64)
+    at[same] = vocab.lookup(symbols[same], symbols[same + 1])
     while len(symbols):
-        same = owner[1:] == owner[:-1]
-        at = np.full(len(symbols), -1, dtype=np.int64)
-        at[:-1][same] = vocab.lookup(symbols[:-1][same], symbols[1:][same])
         rank = np.where(at >= 0, vocab.key_rank[at], NO_MERGE)
-        starts = np.flatnonzero(np.concatenate([[True], ~same]))
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(symbols))))
         finished = best == NO_MERGE
         if finished.any():
@@ -214,7 +253,13 @@ def merge_rounds(vocab: Vocabulary, symbols: np.ndarray, lengths: np.ndarray) ->
         symbols[places] = vocab.key_made[at[places]]
         keep = np.ones(len(symbols), dtype=bool)
         keep[places + 1] = False
-        symbols, owner = symbols[keep], owner[keep]
+        places -= np.arange(len(places))  # where they are once the merged symbols are gone
+        symbols, owner, at = symbols[keep], owner[keep], at[keep]
+        near = np.unique(np.concatenate([places, np.maximum(places - 1, 0)]))
+        at[near] = -1
+        near = near[:-1] if near[-1] == len(symbols) - 1 else near
+        near = near[owner[near] == owner[near + 1]]
+        at[near] = vocab.lookup(symbols[near], symbols[near + 1])
     flat, owners = np.concatenate(done_symbols), np.concatenate(done_owner)
     order = np.argsort(owners, kind="stable")
     return flat[order], np.bincount(owners, minlength=count)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from granary.llm import bpe
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 
@@ -28,3 +29,9 @@ def query(name: str, sql: str | None = None):
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(table(spark, sf_dir, "documents"), path, limit=1024)
+
+
+@query("op8_bpe_codec")
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path))

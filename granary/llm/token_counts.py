@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,28 +21,29 @@ class Counter:
     def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
         self.vocab, self.remembered, self.known = vocab, remembered, {}
 
-    def learn(self, pieces: list[str]) -> None:
-        """Merge the pieces not met before, all in one ragged array."""
-        new = list(set(pieces) - self.known.keys())
-        if not new:
-            return
-        symbols = [self.vocab.symbols(p) for p in new]
-        lengths = np.array([len(s) for s in symbols], dtype=np.int64)
-        flat = np.fromiter((i for s in symbols for i in s), dtype=np.int64, count=int(lengths.sum()))
-        self.known.update(zip(new, merge_rounds(self.vocab, flat, lengths)[1].tolist(), strict=True))
+    def sizes(self, pieces: list[str]) -> np.ndarray:
+        """Tokens of each piece; those not met before are merged in one ragged array."""
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        missing = np.flatnonzero(found < 0).tolist()
+        new = list({pieces[i] for i in missing})
+        if new:
+            merged = merge_rounds(self.vocab, *self.vocab.symbols(new))[1]
+            self.known.update(zip(new, merged.tolist(), strict=True))
+            found[missing] = [self.known[pieces[i]] for i in missing]
+        return found
 
     def count(self, texts: list[str]) -> list[int]:
-        blocks, owners, counts = [], [], np.zeros(len(texts), dtype=np.int64)
+        blocks: list[list[str]] = []
+        owners: list[int] = []
+        counts = np.zeros(len(texts), dtype=np.int64)
         held = 0
 
         def flush() -> None:
             nonlocal held
-            pieces = [p for block in blocks for p in block]
-            if len(self.known) > self.remembered:
-                self.known.clear()
-            self.learn(pieces)
-            values = np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-            np.add.at(counts, owners, sums(values, [len(b) for b in blocks]))
+            sizes = self.sizes([p for block in blocks for p in block])
+            np.add.at(counts, np.array(owners, dtype=np.int64), sums(sizes, [len(b) for b in blocks]))
             blocks.clear()
             owners.clear()
             held = 0
