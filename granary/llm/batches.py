@@ -94,5 +94,6 @@ def ragged_gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
 def sums(values: np.ndarray, lengths: Iterable[int]) -> np.ndarray:
     """The sum of each of the consecutive groups of ``lengths``; 0 for an empty group."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    ends = np.cumsum(np.asarray(lengths, dtype=np.int64))
+    lengths = np.asarray(lengths, dtype=np.int64)
+    ends = np.cumsum(lengths)
     return total[ends] - total[ends - lengths]
