@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import bpe
+from pyspark.sql import functions as F
+
+from granary.llm import bpe, checks, decontaminate, language, licenses
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 
@@ -35,3 +37,22 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op5_decontaminate", checks.DECONTAMINATE)
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.verdicts(decontaminate.scan(documents, items))
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    kept_out = language.held_out("doc_id")
+    model = language.learn(documents.where(~kept_out & F.col("doc_id").isNotNull()))
+    return language.predict(documents, model).withColumn("held_out", kept_out)
