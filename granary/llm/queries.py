@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, checks, decontaminate, language, licenses
+from granary.llm import bpe, checks, decontaminate, language, licenses, simhash
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 
@@ -56,3 +56,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept_out = language.held_out("doc_id")
     model = language.learn(documents.where(~kept_out & F.col("doc_id").isNotNull()))
     return language.predict(documents, model).withColumn("held_out", kept_out)
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
