@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, checks, decontaminate, language, licenses, simhash
+from granary.llm import bpe, checks, decontaminate, language, licenses, quality, simhash
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
+from granary.session import stage
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +62,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_simhash")
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    counted = stage(quality.text_counts(documents).drop("text"), "quality-counts")
+    judged = quality.judge(counted, quality.fit(counted))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
