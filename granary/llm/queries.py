@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, checks, decontaminate, language, licenses, quality, simhash
+from granary.llm import bpe, checks, decontaminate, language, licenses, pii, quality, simhash
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 from granary.session import stage
@@ -70,3 +70,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = stage(quality.text_counts(documents).drop("text"), "quality-counts")
     judged = quality.judge(counted, quality.fit(counted))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
