@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Text that one step of a vectorised loop holds; shapes memory, not results.
 BLOCK_CHARS = 1 << 21
@@ -27,10 +29,10 @@ def per_document(
     """
     names = list(columns)
     source = docs.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
-    first = f"{names[0]} {source.schema[0].dataType.simpleString()}"
-    target = f"{first}, {schema}"
-    outputs = [part.strip().split(" ")[0] for part in _fields(schema)]
-    types: list = []
+    made_fields = T.StructType.fromDDL(schema).fields
+    target = T.StructType([source.schema[0], *made_fields])
+    outputs = [f.name for f in made_fields]
+    types = [f.type for f in to_arrow_schema(T.StructType(made_fields))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,31 +40,14 @@ def per_document(
                 part = batch.slice(start, stop - start)
                 made = function([part.column(i).to_pylist() for i in range(1, len(names))])
                 arrays = [part.column(0)]
-                for name, kind in zip(outputs, types[0], strict=True):
+                for name, kind in zip(outputs, types, strict=True):
                     values = made[name]
                     arrays.append(values if isinstance(values, pa.Array) else pa.array(values, type=kind))
                 yield pa.RecordBatch.from_arrays(arrays, names=[names[0], *outputs])
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    types.append([f.type for f in to_arrow_schema(StructType.fromDDL(schema))])
     return source.mapInArrow(run, target)
 
 
-def _fields(schema: str) -> list[str]:
-    """The fields of a DDL schema; commas inside ``<...>`` belong to a field."""
-    fields, depth, current = [], 0, ""
-    for char in schema:
-        depth += (char == "<") - (char == ">")
-        if char == "," and not depth:
-            fields.append(current)
-            current = ""
-        else:
-            current += char
-    return [*fields, current]
-
-
 def text_lengths(texts: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
 

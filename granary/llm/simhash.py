@@ -160,6 +160,13 @@ def links(classes: DataFrame, compared: int = COMPARED) -> DataFrame:
     return pairs.unionByName(met) if not hot.isEmpty() else pairs
 
 
+def groups(fps: DataFrame) -> DataFrame:
+    """``fp`` and ``root`` (the smallest fingerprint of its component) of each distinct ``fp``."""
+    classes = stage(fps.select("fp").distinct(), "simhash-classes")
+    found = components(links(classes)).withColumnRenamed("node", "fp")
+    return classes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``fingerprint`` (16 hex digits) and ``component_id`` of each row.
 
@@ -173,12 +180,34 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     as one text; all that is shuffled is fingerprints, never text.
     """
     fps = stage(fingerprints(docs, id, text), "simhash-fingerprints")
-    classes = stage(fps.groupBy("fp").agg(F.min(id).alias("first")), "simhash-classes")
-    found = components(links(classes))
-    rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root")
-    return fps.join(named.select("fp", "component_id"), "fp").select(
+    rooted = stage(groups(fps), "simhash-groups")
+    first = fps.groupBy("fp").agg(F.min(id).alias("first")).join(rooted, "fp")
+    named = first.groupBy("root").agg(F.min("first").alias("component_id"))
+    return fps.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select(
         id, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of ``near_duplicates``, with all columns of ``docs``.
+
+    It is the one with the smallest id (rows without an id come last), then the smallest hash of its
+    text; of rows that agree in both any one.  Components meet in an aggregation with partial minima; of
+    the texts, only those that stay are joined back.
+    """
+    held = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs[id].alias("id"), docs[text].alias("text"),
+        F.xxhash64(docs[text]).alias("hash"),
+    )
+    rows = held.select(F.struct("id", "hash").alias("row"), "text")
+    fps = stage(fingerprints(rows, "row").select("row.id", "row.hash", "fp"), "simhash-fingerprints")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "hash")
+    best = fps.groupBy("fp").agg(F.min(order).alias("best")).join(groups(fps), "fp")
+    chosen = best.groupBy("root").agg(F.min("best").alias("best")).select(
+        F.col("best.id").alias("kept_id"), F.col("best.hash").alias("kept_hash")
+    )
+    kept = held.join(
+        stage(chosen, "simhash-kept"),
+        F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi",
+    )
+    return kept.dropDuplicates(["id", "hash"]).select("doc.*")
