@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, checks, decontaminate, language, licenses, pii, quality, simhash
+from granary.llm import bpe, checks, chunks, decontaminate, language, licenses, pii, quality, simhash
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 from granary.session import stage
@@ -75,3 +75,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_pii")
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.summary(chunks.dedupe(table(spark, sf_dir, "documents")))
