@@ -61,6 +61,11 @@ def chunk_digests(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ends, Hashes(data).of(starts, ends)
 
 
+def _digests(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    found = [chunk_digests(t)[1] for t in texts]
+    return np.repeat(np.arange(len(texts)), [len(f) for f in found]), np.concatenate([np.zeros(0, np.uint64), *found])
+
+
 def repeated_runs(ends: np.ndarray, first: np.ndarray, uid: int) -> list[dict]:
     """Byte ranges of runs of chunks whose ``first`` holder comes before ``uid``, with those holders."""
     runs, start = [], None
@@ -88,7 +93,7 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     chunks.  Every row gives one row; other columns are not read.
     """
     lists = (
-        shared_keys(docs, id, text, lambda t: chunk_digests(t)[1])
+        shared_keys(docs, id, text, _digests)
         .groupBy("uid").agg(F.collect_list(F.struct("key", "first")).alias("shared"))  # at most a document's chunks
     )
     joined = packed_texts(docs, id, text).repartition(partitions(docs), "uid").join(lists, "uid", "left")

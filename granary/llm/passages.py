@@ -24,6 +24,10 @@ LAST = (1 << 63) - 1
 BUCKETS_PER_PARTITION = 4
 
 
+#: From some texts, the number of the text and the unsigned key of each of their keys.
+KeysOf = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+
+
 def order_of(id: str) -> Column:
     return F.coalesce(F.col(id).cast("bigint"), F.lit(LAST))
 
@@ -100,6 +104,8 @@ def settle(uid: np.ndarray, key: np.ndarray, buckets: int) -> Iterator[pa.Record
     uid, key = uid[order], key[order]
     if not len(key):
         return
+    once = np.concatenate([[True], (key[1:] != key[:-1]) | (uid[1:] != uid[:-1])])
+    uid, key = uid[once], key[once]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     run = np.cumsum(new) - 1
     holder = uid[np.flatnonzero(new)][run]
@@ -143,7 +149,7 @@ def _triples(uid: np.ndarray, key: np.ndarray, first: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(key), pa.array(first)], names=["uid", "key", "first"])
 
 
-def shared_keys(docs: DataFrame, id: str, text: str, keys_of: Callable[[bytes], np.ndarray]) -> DataFrame:
+def shared_keys(docs: DataFrame, id: str, text: str, keys_of: KeysOf) -> DataFrame:
     """``uid``, ``key`` and ``first`` (the smallest id that holds the key, or the smallest of a block of
     documents) of every key that two documents hold; a row may come more than once."""
     count = partitions(docs)
@@ -154,8 +160,8 @@ def shared_keys(docs: DataFrame, id: str, text: str, keys_of: Callable[[bytes],
             for start, stop in slices(text_lengths(batch.column(1))):
                 part = batch.slice(start, stop - start)
                 uids = part.column(0).to_numpy(zero_copy_only=False)
-                found = [np.unique(keys_of(t)) for t in part.column(1).cast(pa.binary()).to_pylist()]
-                yield from settle(np.repeat(uids, [len(k) for k in found]), np.concatenate(found).view(np.int64), buckets)
+                number, keys = keys_of(part.column(1).cast(pa.binary()).to_pylist())
+                yield from settle(uids[number], keys.view(np.int64), buckets)
 
     rows = docs.select(order_of(id).alias("uid"), F.col(text).alias("text")).where("text IS NOT NULL")
     spread_out = rows.mapInArrow(spread, "bucket int, uid bigint, keys array<bigint>, firsts array<bigint>")

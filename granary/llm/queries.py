@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, checks, chunks, decontaminate, language, licenses, pii, quality, simhash
+from granary.llm import bpe, checks, chunks, decontaminate, language, licenses, pii, quality, simhash, windows
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 from granary.session import stage
@@ -80,3 +80,8 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_substring_dedup")
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.summary(chunks.dedupe(table(spark, sf_dir, "documents")))
+
+
+@query("op7_suffix_windows")
+def op7_suffix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.summary(windows.dedupe(table(spark, sf_dir, "documents")))
