@@ -150,14 +150,15 @@ class Vocabulary:
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The pieces of ordinary text that are merged on their own, in lists of bounded size."""
         plain = unicodedata.normalize("NFC", text) if self.composed and not text.isascii() else text
+        # Lower case of single letters: a capital sigma at the end of a word is no exception.
+        plain = plain.replace("Σ", "σ").lower() if self.lower else plain
         if _beyond_common(text) or _beyond_common(plain):
             shown = self.library.pre_tokenizer.pre_tokenize_str(
                 self.library.normalizer.normalize_str(text) if self.library.normalizer else text
             )
             yield [bytes(map(self.byte_of.__getitem__, s)).decode() for s, _ in shown]
             return
-        # Lower case of single letters: a capital sigma at the end of a word is no exception.
-        text = plain.replace("Σ", "σ").lower() if self.lower else plain
+        text = plain
         if len(text) <= PIECES:
             yield self.pattern.findall(text)
             return
