@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from granary.functions.text import strip
 
-# fixed values: accepted spellings
-LONG_PATTERN = r"^-?[0-9]+$"
-DOUBLE_PATTERN = r"^-?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE]-?[0-9]+)?$"
-LENIENT_DOUBLE_PATTERN = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-SPECIAL_DOUBLE_PATTERN = r"^[+-]?(?:inf|infinity|nan)$"
-ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-SLASH_DATE_PATTERN = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+# fixed values: accepted spellings; \z and not $, which also matches before a line end
+LONG_PATTERN = r"^-?[0-9]+\z"
+DOUBLE_PATTERN = r"^-?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE]-?[0-9]+)?\z"
+LENIENT_DOUBLE_PATTERN = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+SPECIAL_DOUBLE_PATTERN = r"^[+-]?(?:inf|infinity|nan)\z"
+ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+SLASH_DATE_PATTERN = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z"
 
 
 def strict_long(col: Column) -> Column:

@@ -181,11 +181,13 @@ def numbered_repeats(
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
+    offsets = offsets.withColumnsRenamed({c: f"_of_{c}" for c in [*keys, "_piece"]})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*keys, "_piece"]]  # null is a key too
     return (
         pieced.withColumn("_inside", inside)
-        .join(offsets, [*keys, "_piece"])
+        .join(offsets, same)
         .withColumn(name, F.col("_inside") + F.col("_before"))
-        .drop("_piece", "_inside", "_before")
+        .drop("_piece", "_inside", "_before", *[f"_of_{c}" for c in [*keys, "_piece"]])
     )
 
 

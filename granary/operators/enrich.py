@@ -27,8 +27,8 @@ def label(
     """Add columns of a dimension; rows without a match keep nulls.
 
     ``on`` maps a column of ``df`` to the key of the dimension, ``columns`` maps dimension columns
-    to their new names.  Keys of different types meet under the type of ``df``'s key, except that
-    text meets a number under the number's type, by ``try_cast``.
+    to their new names.  Text meets a number under the number's type, by ``try_cast``; two kinds of
+    numbers meet under their common type, so 1 is not 1.5.
     """
     keys = {f"_k{i}": (left, right) for i, (left, right) in enumerate(on.items())}
     small = dimension.select(
@@ -49,7 +49,9 @@ def _equal(
         return left == right
     if left_type.simpleString() == "string":
         return left.try_cast(right_type) == right
-    return left == right.try_cast(left_type)
+    if right_type.simpleString() == "string":
+        return left == right.try_cast(left_type)
+    return left == right  # two numbers meet under their common type
 
 
 def extend(df: DataFrame, extensions: Mapping[str, DataFrame], key: str, kind: str) -> DataFrame:

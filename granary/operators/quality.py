@@ -333,32 +333,38 @@ def identity_status(
 
 
 def gate_identity(
-    sha256: str, size: int, *, expected_sha256: str | None = None, manifest: Mapping | None = None
-) -> bool:
-    """Refuse a file that is not the one that was profiled; says whether it holds duplicates."""
-    from granary.sources.manifest import manifest_flag, manifest_long
+    file: DataFrame, *, expected_sha256: str | None = None, manifest: Mapping | None = None
+) -> None:
+    """Refuse a file (one row of ``file_sha256``, ``file_bytes``) that is not the one that was profiled.
 
-    if not expected_sha256 and manifest is None:
+    What the caller expects and what the manifest records are both claims about the file; the first
+    one whose ``identity_status`` is not ``ok`` refuses it.
+    """
+    claims = []
+    if expected_sha256:
+        claims.append(file.select(F.lit("1 expected").alias("claim"), F.lit(expected_sha256).alias("file_sha256"), "file_bytes"))
+    if manifest is not None:
+        recorded = [F.lit(manifest[c]).cast(t).alias(c) for c, t in (("file_sha256", "string"), ("file_bytes", "bigint"))]
+        claims.append(file.select(F.lit("2 manifest").alias("claim"), *recorded))
+    if not claims:
         raise GateError("give the expected SHA-256 or a preflight manifest")
-    if expected_sha256 and expected_sha256 != sha256:
-        raise GateError(f"the file has SHA-256 {sha256}, expected {expected_sha256}")
+    made = _union(claims)
+    files = made.select("claim").join(file.select("file_sha256", "file_bytes"))
+    refused = identity_status(files, made, ["claim"]).where("status <> 'ok'").orderBy("claim").first()
+    if refused:
+        raise GateError(
+            f"{refused['claim'][2:]}: {refused['status']} (the file has SHA-256 {refused['file_sha256']}, "
+            f"{refused['file_bytes']} bytes)"
+        )
+
+
+def holds_duplicates(manifest: Mapping | None) -> bool:
+    """Whether a manifest says that its file holds repeated codes."""
     if manifest is None:
         return False
-    recorded = manifest.get("file_sha256")
-    if not recorded:
-        raise GateError("the manifest has no file_sha256")
-    if recorded != sha256:
-        raise GateError(f"the file has SHA-256 {sha256}, the manifest says {recorded}")
-    recorded_size = manifest_long(manifest, "file_bytes")
-    if recorded_size is None:
-        raise GateError("the manifest has no file_bytes")
-    if recorded_size != size:
-        raise GateError(f"the file has {size} bytes, the manifest says {recorded_size}")
-    found = manifest_flag(manifest, "duplicates_found")
-    if found is None:
-        raise GateError("the manifest has no duplicates_found")
-    counts = [manifest_long(manifest, f) or 0 for f in ("duplicate_values", "duplicate_occurrences")]
-    return found or max(counts) > 0
+    if manifest["duplicates_found"] is None:
+        raise GateError("manifest without duplicates_found")
+    return any(manifest[f] for f in ("duplicates_found", "duplicate_values", "duplicate_occurrences"))
 
 
 def gate_duplicates(has_duplicates: bool, *, keep_first: bool, has_codes: bool) -> None:

@@ -23,6 +23,7 @@ from granary.operators.quality import (
     GateError,
     gate_duplicates,
     gate_identity,
+    holds_duplicates,
     gate_unique,
     run_totals,
 )
@@ -49,7 +50,7 @@ from granary.sources.delimited import (
     read_header_line,
 )
 from granary.sources.fingerprint import combined_fingerprint, fingerprint
-from granary.sources.manifest import ManifestError, read_code_list, read_manifest
+from granary.sources.manifest import read_code_list, read_manifest
 
 PRODUCTS, NUTRIENTS, PROVENANCE = "product_raw", "nutrient_100g", "import_metadata"
 DEDUPE = ("none", "memory", "best")
@@ -159,19 +160,17 @@ def import_products(
     if dedupe not in DEDUPE:
         raise ValueError(f"dedupe must be one of {', '.join(DEDUPE)}")
     started = time.time()
-    file = combined_fingerprint(fingerprint(spark, path)).first()
+    identity = stage(combined_fingerprint(fingerprint(spark, path)), "fingerprint")
+    file = identity.first()
     if file["files"] == 0:
         raise InputError(f"no input file at {path}")
     manifest = read_manifest(spark, preflight_manifest) if preflight_manifest else None
-    has_duplicates = gate_identity(
-        file["file_sha256"], file["file_bytes"], expected_sha256=expected_sha256, manifest=manifest
-    )
+    gate_identity(identity, expected_sha256=expected_sha256, manifest=manifest)
+    has_duplicates = holds_duplicates(manifest)
     if dedupe == "memory" and duplicate_codes is not None:
         raise GateError("keep the first row or give a code list, not both")
     listed = duplicate_codes
-    if listed is None and manifest and manifest.get("duplicate_codes_path"):
-        if not isinstance(manifest["duplicate_codes_path"], str):
-            raise ManifestError("manifest field duplicate_codes_path is not a string")
+    if listed is None and manifest and manifest["duplicate_codes_path"]:
         listed = _resolve_path(preflight_manifest, manifest["duplicate_codes_path"])
     codes = stage(read_code_list(spark, listed), "codes") if listed else None
     if codes is not None and codes.isEmpty():

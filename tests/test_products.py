@@ -25,8 +25,8 @@ def test_two_products(spark, tmp_path, database, sep, bom):
     totals = import_products(spark, path, database, preflight_manifest=manifest).first()
     assert (totals["products"], totals["nutrients"]) == (2, 6)
     rows = spark.table(f"{database}.product_raw").orderBy("code_norm").collect()
-    assert [r["code_norm"] for r in rows] == ["0012345", "0067890"]
-    assert rows[0]["protein_100g"] == 10.0 and rows[0]["categories"] == ""
+    assert [r["code_norm"] for r in rows] == ["00731", "00732"]
+    assert rows[0]["protein_100g"] == 0.9 and rows[0]["categories"] == ""
     run = spark.table(f"{database}.import_metadata").collect()
     assert len(run) == 1 and run[0]["delimiter"] == sep and run[0]["nutrients_mode"] == "minimal"
 
@@ -37,12 +37,12 @@ def test_scored_duplicates(spark, tmp_path, database):
     manifest, row = preflight(spark, path, tmp_path, duplicate_codes_out=codes)
     assert (row["code_total"], row["code_unique"]) == (4, 2)
     assert (row["duplicate_values"], row["duplicate_occurrences"]) == (1, 2)
-    assert row["duplicate_samples"] == ["0012345"] and row["duplicate_codes_count"] == 1
+    assert row["duplicate_samples"] == ["00731"] and row["duplicate_codes_count"] == 1
     assert read_manifest(spark, manifest)["duplicate_codes_path"] == codes
     totals = import_products(spark, path, database, preflight_manifest=manifest).first()
     assert (totals["products"], totals["nutrients"], totals["duplicates_resolved"]) == (2, 10, 1)
-    won = spark.table(f"{database}.product_raw").where("code_norm = '0012345'").first()
-    assert won["product_name"] == "Newer Complete"
+    won = spark.table(f"{database}.product_raw").where("code_norm = '00731'").first()
+    assert won["product_name"] == "complete"
     with pytest.raises(GateError, match="already holds"):
         import_products(spark, path, database, preflight_manifest=manifest)
     again = import_products(
@@ -61,7 +61,7 @@ def test_keep_first(spark, tmp_path, database):
     totals = import_products(spark, path, database, preflight_manifest=manifest, dedupe="memory").first()
     assert (totals["products"], totals["nutrients"], totals["skipped_duplicate_code"]) == (2, 7, 2)
     names = {r["product_name"] for r in spark.table(f"{database}.product_raw").collect()}
-    assert names == {"Old Incomplete", "Unique Product"}
+    assert names == {"oldest", "single"}
 
 
 def test_repeated_codes_break_the_key(spark, tmp_path, database):
@@ -69,7 +69,7 @@ def test_repeated_codes_break_the_key(spark, tmp_path, database):
     _, row = preflight(spark, path, tmp_path)
     with pytest.raises(GateError, match="occurs 3 times"):
         import_products(spark, path, database, expected_sha256=row["file_sha256"])
-    with pytest.raises(GateError, match="expected abc"):
+    with pytest.raises(GateError, match="expected: sha-256 mismatch"):
         import_products(spark, path, database, expected_sha256="abc")
     with pytest.raises(GateError, match="give the expected"):
         import_products(spark, path, database)
@@ -94,14 +94,14 @@ def test_manifest_gates(spark, tmp_path, database):
         ).first()
 
     for bad, error in [
-        ("{invalid json", "not JSON"), (["not", "a", "dict"], "not a JSON object"),
-        ({**good, "file_bytes": "not_an_int"}, "file_bytes is not an int"),
-        ({**good, "duplicates_found": "not_a_bool"}, "duplicates_found is not a bool"),
+        ("{invalid json", "not a JSON object"), (["not", "a", "dict"], "not a JSON object"),
+        ({**good, "file_bytes": "not_an_int"}, "file_bytes is not a bigint"),
+        ({**good, "duplicates_found": "not_a_bool"}, "duplicates_found is not a boolean"),
     ]:
         with pytest.raises(ManifestError, match=error):
             load(bad)
     for field in ("file_sha256", "file_bytes", "duplicates_found"):
-        with pytest.raises(GateError, match=f"no {field}"):
+        with pytest.raises(GateError, match=f"without {field}"):
             load({k: v for k, v in good.items() if k != field})
     for change in ({"file_sha256": "0"}, {"file_bytes": 1}, {"duplicates_found": "TRUE"},
                    {"duplicate_values": 3}):
@@ -115,7 +115,7 @@ def test_manifest_gates(spark, tmp_path, database):
 def test_lists_relative_to_the_manifest_and_exclusive_options(spark, tmp_path, database):
     path = write_rows(tmp_path / "dup.tsv", SCORED)
     out, _ = preflight(spark, path, tmp_path)
-    (tmp_path / "mine.txt").write_text(" 0012345 \n\n0012345\n")
+    (tmp_path / "mine.txt").write_text(" 00731 \n\n00731\n")
     document = {**read_manifest(spark, out), "duplicate_codes_path": "mine.txt"}
     manifest = _manifest(tmp_path, document)
     assert import_products(spark, path, database, preflight_manifest=manifest).first()["duplicates_resolved"] == 1
@@ -193,7 +193,7 @@ def test_export_in_several_files(spark, tmp_path, database):
     totals = import_products(spark, str(folder), database, preflight_manifest=manifest).first()
     assert (totals["products"], totals["nutrients"]) == (2, 10)
     write_rows(folder / "b.tsv", SCORED)
-    with pytest.raises(GateError, match="SHA-256"):
+    with pytest.raises(GateError, match="sha-256 mismatch"):
         import_products(spark, str(folder), database, preflight_manifest=manifest)
 
 
