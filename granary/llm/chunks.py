@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.passages import Hashes, packed_texts, partitions, shared_keys, unpack
 from granary.llm.batches import per_document
+from granary.llm.passages import Hashes, order_of, packed_texts, partitions, shared_keys, unpack
 
 #: Mean length of a chunk in bytes, and the length after which one ends anyway.
 MEAN_CHUNK, MAX_CHUNK = 16, 256
@@ -93,7 +93,7 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     chunks.  Every row gives one row; other columns are not read.
     """
     lists = (
-        shared_keys(docs, id, text, _digests)
+        shared_keys(docs.select(order_of(id).alias("uid"), F.col(text).cast("binary").alias("body")), _digests)
         .groupBy("uid").agg(F.collect_list(F.struct("key", "first")).alias("shared"))  # at most a document's chunks
     )
     joined = packed_texts(docs, id, text).repartition(partitions(docs), "uid").join(lists, "uid", "left")

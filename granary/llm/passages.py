@@ -149,10 +149,15 @@ def _triples(uid: np.ndarray, key: np.ndarray, first: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(key), pa.array(first)], names=["uid", "key", "first"])
 
 
-def shared_keys(docs: DataFrame, id: str, text: str, keys_of: KeysOf) -> DataFrame:
+def shared_keys(bodies: DataFrame, keys_of: KeysOf) -> DataFrame:
     """``uid``, ``key`` and ``first`` (the smallest id that holds the key, or the smallest of a block of
-    documents) of every key that two documents hold; a row may come more than once."""
-    count = partitions(docs)
+    documents) of every key that two documents hold; a row may come more than once.
+
+    ``bodies``: ``uid`` and the bytes of each text, plain or as packed by ``packed_texts``.
+    """
+    count = partitions(bodies)
+    source = bodies.select("uid", [c for c in bodies.columns if c != "uid"][0])
+    read = unpack if source.columns[1] == "packed" else bytes
     buckets = count * BUCKETS_PER_PARTITION
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,11 +165,10 @@ def shared_keys(docs: DataFrame, id: str, text: str, keys_of: KeysOf) -> DataFra
             for start, stop in slices(text_lengths(batch.column(1))):
                 part = batch.slice(start, stop - start)
                 uids = part.column(0).to_numpy(zero_copy_only=False)
-                number, keys = keys_of(part.column(1).cast(pa.binary()).to_pylist())
+                number, keys = keys_of([read(t) for t in part.column(1).to_pylist()])
                 yield from settle(uids[number], keys.view(np.int64), buckets)
 
-    rows = docs.select(order_of(id).alias("uid"), F.col(text).alias("text")).where("text IS NOT NULL")
-    spread_out = rows.mapInArrow(spread, "bucket int, uid bigint, keys array<bigint>, firsts array<bigint>")
+    spread_out = source.where(F.col(source.columns[1]).isNotNull()).mapInArrow(spread, "bucket int, uid bigint, keys array<bigint>, firsts array<bigint>")
     sorted_ = (
         spread_out.repartition(count, "bucket")
         .select("uid", F.inline(F.arrays_zip("keys", "firsts")).alias("key", "first"))

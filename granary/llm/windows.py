@@ -13,6 +13,9 @@ group that can't hold two documents leaves it after each digit:
 3. *The window.*  What is left are stretches that differ but share an anchor, as at the borders of
    repeated passages.  Their windows are compared one by one.
 
+A document whose whole text an earlier document has needs no sorting: all its windows repeat.  Such copies
+are found by digests of the texts first and take no part.
+
 Digits are compared by 64-bit hashes of their bytes; as a window is told apart by all its digits
 together, two unequal windows would have to agree in two independent hashes.
 """
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.batches import per_document, ragged_gather, slices, text_lengths
-from granary.llm.passages import Hashes, mix, packed_texts, partitions, shared_keys, unpack
+from granary.llm.passages import Hashes, mix, order_of, packed_texts, partitions, shared_keys, unpack
 
 DEPTH, GRAM = 50, 24
 GRAMS = DEPTH - GRAM + 1  # in a window
@@ -137,23 +140,23 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(uid, stretch, gram) from rows sorted by gram, stretch and uid: without ``gram`` where a smaller
-    document has the same stretch, with it where other stretches have the same anchor.
+    """(uid, stretch, open) from rows sorted by gram, stretch and uid: not open where a smaller document has
+    the same stretch, open where other stretches have the same anchor.
 
     Remembered are the smallest document of the last stretch, and whether its anchor has others.
     """
     held: tuple[int, int, int] | None = None
     several = sent = False
 
-    def output(uid: np.ndarray, stretch: np.ndarray, gram: np.ndarray | None) -> pa.RecordBatch:
-        grams = pa.nulls(len(uid), pa.int64()) if gram is None else pa.array(gram)
-        return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(stretch), grams], names=["uid", "stretch", "gram"])
+    def output(uid: np.ndarray, stretch: np.ndarray, is_open: bool) -> pa.RecordBatch:
+        arrays = [pa.array(uid), pa.array(stretch), pa.array(np.full(len(uid), is_open))]
+        return pa.RecordBatch.from_arrays(arrays, names=["uid", "stretch", "open"])
 
     for batch in batches:
         gram, stretch, uid = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         known = batch.column(3).to_numpy(zero_copy_only=False)
         if known.any():
-            yield output(uid[known], stretch[known], None)
+            yield output(uid[known], stretch[known], False)
             gram, stretch, uid = gram[~known], stretch[~known], uid[~known]
         if not len(gram):
             continue
@@ -164,7 +167,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = new_gram | np.concatenate([[True], stretch[1:] != stretch[:-1]])
         first = np.flatnonzero(new)
         repeats = uid != uid[first][np.cumsum(new) - 1]
-        yield output(uid[repeats], stretch[repeats], None)
+        yield output(uid[repeats], stretch[repeats], False)
         group = np.cumsum(new_gram) - 1
         kinds = np.bincount(group[first])
         many = kinds > 1
@@ -174,7 +177,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_open = bool(open_[-1])
         if same_gram and sent:
             open_[0] = False
-        yield output(uid[first][open_], stretch[first][open_], gram[first][open_])
+        yield output(uid[first][open_], stretch[first][open_], True)
         held = (int(gram[-1]), int(stretch[-1]), int(uid[first[-1]]))
         several, sent = bool(many[-1]), last_open
 
@@ -334,42 +337,51 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text", compared: in
     """
     count = partitions(docs)
     texts = packed_texts(docs, id, text).repartition(count, "uid")
-    shared = shared_keys(docs, id, text, _grams)
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    firsts = docs.select(order_of(id).alias("uid"), digest.alias("digest")).groupBy("digest").agg(F.min("uid").alias("uid"))
+    firsts = firsts.select("uid").distinct()  # all rows of other ids are copies
+    shared = shared_keys(texts.join(firsts, "uid", "left_semi").select("uid", "packed"), _grams)
     shared = shared.groupBy("uid").agg(F.collect_set("key").alias("grams"))  # at most a document's anchors
     stretches = texts.join(shared, "uid").select("uid", "packed", "grams").mapInArrow(
         _stretches, "gram bigint, stretch bigint, uid bigint, known boolean"
     )
     decided = (
         stretches.repartition(count, "gram").sortWithinPartitions("gram", "stretch", "uid")
-        .mapInArrow(_decide, "uid bigint, stretch bigint, gram bigint")
+        .mapInArrow(_decide, "uid bigint, stretch bigint, open boolean")
         .repartition(count, "uid")
     )
-    open_ = decided.where("gram IS NOT NULL").groupBy("uid").agg(F.collect_set("stretch").alias("stretches"))
-    bodies = texts.join(open_, "uid").select("uid", "packed", "stretches").mapInArrow(
+    lists = decided.groupBy("uid").agg(
+        F.collect_set(F.when(F.col("open"), F.col("stretch"))).alias("stretches"),
+        F.collect_set(F.when(~F.col("open"), F.col("stretch"))).alias("whole"),
+    )
+    bodies = texts.join(lists.where("size(stretches) > 0"), "uid").select("uid", "packed", "stretches").mapInArrow(
         _bodies, "gram bigint, uid bigint, stretch bigint, body binary"
     )
-    compared = bodies.repartition(count, "gram").sortWithinPartitions("gram").mapInArrow(
+    compared_ = bodies.repartition(count, "gram").sortWithinPartitions("gram").mapInArrow(
         lambda b: _compare(b, compared), "uid bigint, stretch bigint, mask bigint, gram bigint, body binary"
     )
-    repeats = (
-        decided.where("gram IS NULL").select("uid", "stretch", F.lit(ALL).cast("bigint").alias("mask"))
-        .unionByName(compared.where("mask IS NOT NULL").select("uid", "stretch", "mask"))
-        .unionByName(_by_window(compared.where("mask IS NULL")))
+    masks = compared_.where("mask IS NOT NULL").select("uid", "stretch", "mask").unionByName(
+        _by_window(compared_.where("mask IS NULL"))
+    )
+    masks = masks.groupBy("uid").agg(F.collect_list(F.struct("stretch", "mask")).alias("masks"))
+    joined = (
+        texts.join(lists.select("uid", "whole"), "uid", "left").join(masks, "uid", "left")
+        .join(firsts.withColumn("first", F.lit(True)), "uid", "left")
     )
-    lists = repeats.groupBy("uid").agg(F.collect_list(F.struct("stretch", "mask")).alias("repeats"))
-    joined = texts.join(lists, "uid", "left")
 
     def run(columns: list[list]) -> dict:
-        lists, bodies = columns[0], [unpack(t) for t in columns[1]]
-        found = Anchors(bodies)
+        firsts, whole, masked, bodies = *columns[:3], [unpack(t) for t in columns[3]]
+        found = Anchors([b if f else b"" for b, f in zip(bodies, firsts, strict=True)])
         cut = np.searchsorted(found.text, np.arange(len(bodies) + 1))
         out = {"n_bytes": [len(b) for b in bodies], "spans": [], "kept": []}
-        for i, (body, repeats) in enumerate(zip(bodies, lists, strict=True)):
+        for i, body in enumerate(bodies):
             spans = np.zeros((0, 2), dtype=np.int64)
-            if repeats:
-                known: dict[int, int] = {}
-                for r in repeats:
-                    known[r["stretch"]] = known.get(r["stretch"], 0) | r["mask"]
+            if not firsts[i] and len(body) >= DEPTH:
+                spans = np.array([[0, len(body)]])
+            elif whole[i] or masked[i]:
+                known = dict.fromkeys(whole[i] or (), ALL)
+                for m in masked[i] or ():
+                    known[m["stretch"]] = known.get(m["stretch"], 0) | m["mask"]
                 own = slice(cut[i], cut[i + 1])
                 masks = np.array([known.get(s, 0) for s in found.stretch[own].view(np.int64).tolist()], dtype=np.int64)
                 hit = masks != 0
@@ -380,7 +392,7 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text", compared: in
         return out | {"spans": pa.array(out["spans"], type=SPANS)}
 
     return per_document(
-        joined, {id: "id", "repeats": "repeats", "packed": "packed"}, run,
+        joined, {id: "id", "first": "first", "whole": "whole", "masks": "masks", "packed": "packed"}, run,
         "n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary",
     )
 
