@@ -93,7 +93,9 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     chunks.  Every row gives one row; other columns are not read.
     """
     lists = (
-        shared_keys(docs.select(order_of(id).alias("uid"), F.col(text).cast("binary").alias("body")), _digests)
+        shared_keys(
+            docs.select(order_of(id).alias("uid"), F.col(text).cast("binary").alias("body"), F.lit(True).alias("use")), _digests
+        )
         .groupBy("uid").agg(F.collect_list(F.struct("key", "first")).alias("shared"))  # at most a document's chunks
     )
     joined = packed_texts(docs, id, text).repartition(partitions(docs), "uid").join(lists, "uid", "left")

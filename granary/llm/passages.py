@@ -153,11 +153,11 @@ def shared_keys(bodies: DataFrame, keys_of: KeysOf) -> DataFrame:
     """``uid``, ``key`` and ``first`` (the smallest id that holds the key, or the smallest of a block of
     documents) of every key that two documents hold; a row may come more than once.
 
-    ``bodies``: ``uid`` and the bytes of each text, plain or as packed by ``packed_texts``.
+    ``bodies``: ``uid``, the bytes of each text (plain, or as ``packed`` by ``packed_texts``), and whether
+    the text takes part; further columns are not looked at.
     """
     count = partitions(bodies)
-    source = bodies.select("uid", [c for c in bodies.columns if c != "uid"][0])
-    read = unpack if source.columns[1] == "packed" else bytes
+    read = unpack if bodies.columns[1] == "packed" else bytes
     buckets = count * BUCKETS_PER_PARTITION
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,10 +165,11 @@ def shared_keys(bodies: DataFrame, keys_of: KeysOf) -> DataFrame:
             for start, stop in slices(text_lengths(batch.column(1))):
                 part = batch.slice(start, stop - start)
                 uids = part.column(0).to_numpy(zero_copy_only=False)
-                number, keys = keys_of([read(t) for t in part.column(1).to_pylist()])
+                taken = zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)
+                number, keys = keys_of([read(t) if t and use else b"" for t, use in taken])
                 yield from settle(uids[number], keys.view(np.int64), buckets)
 
-    spread_out = source.where(F.col(source.columns[1]).isNotNull()).mapInArrow(spread, "bucket int, uid bigint, keys array<bigint>, firsts array<bigint>")
+    spread_out = bodies.mapInArrow(spread, "bucket int, uid bigint, keys array<bigint>, firsts array<bigint>")
     sorted_ = (
         spread_out.repartition(count, "bucket")
         .select("uid", F.inline(F.arrays_zip("keys", "firsts")).alias("key", "first"))

@@ -121,8 +121,9 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for begin, stop in slices(text_lengths(batch.column(1))):
             part = batch.slice(begin, stop - begin)
             uids = part.column(0).to_numpy(zero_copy_only=False)
-            found = Anchors([unpack(t) for t in part.column(1).to_pylist()])
-            near = _within(found.text, found.gram, part.column(2).to_pylist())
+            lists = part.column(2).to_pylist()
+            found = Anchors([unpack(t) if x else b"" for t, x in zip(part.column(1).to_pylist(), lists, strict=True)])
+            near = _within(found.text, found.gram, lists)
             gram, stretch, uid = found.gram[near], found.stretch[near], uids[found.text[near]]
             order = np.lexsort((uid, stretch, gram))
             gram, stretch, uid = gram[order], stretch[order], uid[order]
@@ -191,9 +192,10 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for begin, stop in slices(text_lengths(batch.column(1))):
             part = batch.slice(begin, stop - begin)
             uids = part.column(0).to_numpy(zero_copy_only=False)
-            texts = [unpack(t) for t in part.column(1).to_pylist()]
+            lists = part.column(2).to_pylist()
+            texts = [unpack(t) if x else b"" for t, x in zip(part.column(1).to_pylist(), lists, strict=True)]
             found = Anchors(texts)
-            at = np.flatnonzero(_within(found.text, found.stretch, part.column(2).to_pylist()))
+            at = np.flatnonzero(_within(found.text, found.stretch, lists))
             _, once = np.unique(np.stack([found.text[at].astype(np.uint64), found.stretch[at]], axis=1), axis=0, return_index=True)
             at = at[once]
             spans = zip(found.text[at].tolist(), found.start[at].tolist(), found.end[at].tolist(), strict=True)
@@ -340,9 +342,16 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text", compared: in
     digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     firsts = docs.select(order_of(id).alias("uid"), digest.alias("digest")).groupBy("digest").agg(F.min("uid").alias("uid"))
     firsts = firsts.select("uid").distinct()  # all rows of other ids are copies
-    shared = shared_keys(texts.join(firsts, "uid", "left_semi").select("uid", "packed"), _grams)
+    firsts = firsts.withColumn("first", F.lit(True))
+
+    def beside(lists: DataFrame) -> DataFrame:
+        """All texts with their list: no column or row is left out, so one exchange serves every use."""
+        added = [c for c in lists.columns if c != "uid"]
+        return texts.join(lists, "uid", "left").select("uid", "packed", *added, "id")
+
+    shared = shared_keys(beside(firsts), _grams)
     shared = shared.groupBy("uid").agg(F.collect_set("key").alias("grams"))  # at most a document's anchors
-    stretches = texts.join(shared, "uid").select("uid", "packed", "grams").mapInArrow(
+    stretches = beside(shared).mapInArrow(
         _stretches, "gram bigint, stretch bigint, uid bigint, known boolean"
     )
     decided = (
@@ -354,7 +363,7 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text", compared: in
         F.collect_set(F.when(F.col("open"), F.col("stretch"))).alias("stretches"),
         F.collect_set(F.when(~F.col("open"), F.col("stretch"))).alias("whole"),
     )
-    bodies = texts.join(lists.where("size(stretches) > 0"), "uid").select("uid", "packed", "stretches").mapInArrow(
+    bodies = beside(lists.select("uid", "stretches").where("size(stretches) > 0")).mapInArrow(
         _bodies, "gram bigint, uid bigint, stretch bigint, body binary"
     )
     compared_ = bodies.repartition(count, "gram").sortWithinPartitions("gram").mapInArrow(
@@ -366,12 +375,12 @@ def dedupe(docs: DataFrame, id: str = "doc_id", text: str = "text", compared: in
     masks = masks.groupBy("uid").agg(F.collect_list(F.struct("stretch", "mask")).alias("masks"))
     joined = (
         texts.join(lists.select("uid", "whole"), "uid", "left").join(masks, "uid", "left")
-        .join(firsts.withColumn("first", F.lit(True)), "uid", "left")
+        .join(firsts, "uid", "left")
     )
 
     def run(columns: list[list]) -> dict:
         firsts, whole, masked, bodies = *columns[:3], [unpack(t) for t in columns[3]]
-        found = Anchors([b if f else b"" for b, f in zip(bodies, firsts, strict=True)])
+        found = Anchors([b if w or m else b"" for b, w, m in zip(bodies, whole, masked, strict=True)])
         cut = np.searchsorted(found.text, np.arange(len(bodies) + 1))
         out = {"n_bytes": [len(b) for b in bodies], "spans": [], "kept": []}
         for i, body in enumerate(bodies):
