@@ -3,8 +3,8 @@
 A document is known by its id here, smaller ids come first, and a missing id comes last; rows with one
 id count as one document.  Rows are (key, id).  Before they are shuffled, each block of documents settles
 what it can: of the documents of a block that share a key only the first needs to meet other blocks, so a
-key that a third of all documents hold sends a row per block.  The rest travels as one array per document
-and bucket of keys, is sorted by key, and is decided in one pass that remembers a single row.
+key that a third of all documents hold sends a row per block.  The rest travels as arrays, one for each
+block and bucket of keys, is sorted by key, and is decided in one pass that remembers a single row.
 """
 
 from __future__ import annotations
@@ -80,21 +80,17 @@ class Hashes:
 
 
 def _lists(bucket: np.ndarray, uid: np.ndarray, key: np.ndarray, first: np.ndarray | None) -> pa.RecordBatch:
-    """One row per bucket and id, with its keys."""
+    """One row per bucket, with the ids and keys of a block, in order of the ids."""
     order = np.lexsort((uid, bucket))
     bucket, uid, key = bucket[order], uid[order], key[order]
-    new = np.ones(len(key), dtype=bool)
-    new[1:] = (bucket[1:] != bucket[:-1]) | (uid[1:] != uid[:-1])
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     offsets = pa.array(np.append(starts, len(key)).astype(np.int32))
     if first is None:
         firsts = pa.ListArray.from_arrays(pa.array(np.zeros(len(starts) + 1, np.int32)), pa.array([], pa.int64()))
     else:
         firsts = pa.ListArray.from_arrays(offsets, pa.array(first[order]))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[starts].astype(np.int32)), pa.array(uid[starts]), pa.ListArray.from_arrays(offsets, pa.array(key)), firsts],
-        names=["bucket", "uid", "keys", "firsts"],
-    )
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (uid, key)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *lists, firsts], names=["bucket", "uids", "keys", "firsts"])
 
 
 def settle(uid: np.ndarray, key: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -169,10 +165,10 @@ def shared_keys(bodies: DataFrame, keys_of: KeysOf) -> DataFrame:
                 number, keys = keys_of([read(t) if t and use else b"" for t, use in taken])
                 yield from settle(uids[number], keys.view(np.int64), buckets)
 
-    spread_out = bodies.mapInArrow(spread, "bucket int, uid bigint, keys array<bigint>, firsts array<bigint>")
+    spread_out = bodies.mapInArrow(spread, "bucket int, uids array<bigint>, keys array<bigint>, firsts array<bigint>")
     sorted_ = (
         spread_out.repartition(count, "bucket")
-        .select("uid", F.inline(F.arrays_zip("keys", "firsts")).alias("key", "first"))
+        .select(F.inline(F.arrays_zip("uids", "keys", "firsts")).alias("uid", "key", "first"))
         .select("key", "uid", "first").sortWithinPartitions("key", "uid")
     )
     return sorted_.mapInArrow(first_holders, "uid bigint, key bigint, first bigint")
