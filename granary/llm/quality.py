@@ -43,6 +43,8 @@ MIN_GROUP = 20 * len(STATISTICS)
 #: Rank accuracy of the quantiles, as a share 1/ACCURACY of a group.
 ACCURACY = 10_000
 MAX_STEPS, SETTLED = 8, 1e-3
+#: Groups (of a few hundred bytes each) whose estimates are sent to every task.
+BROADCAST_GROUPS = 20_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -170,13 +172,28 @@ def _distance(first: int = 0) -> Column:
     return sum(parts, F.lit(0.0))
 
 
-def _nearest(rows: DataFrame) -> DataFrame:
+def _beside(rows: DataFrame, side: DataFrame, keys: list[str], groups: int, kind: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``side``, which has a row for each of ``groups`` keys (times two starts).
+
+    A group may hold a third of all rows, so rows are not dealt out by group alone: up to
+    ``BROADCAST_GROUPS`` the side, then of known size, goes to every task; beyond, rows of a group are
+    spread over salts and the side is repeated for each.
+    """
+    if groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(side), keys, kind)
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)))
+    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return spread.join(repeated, [*keys, "_salt"], kind).drop("_salt")
+
+
+def _nearest(rows: DataFrame, groups: int) -> DataFrame:
     """Moments of the ``CORE`` share of each group's rows with the smallest ``d``."""
     cut = rows.groupBy(*KEY).agg(F.percentile_approx("d", CORE, ACCURACY).alias("cut"))
-    return rows.join(cut, KEY).where("d <= cut").groupBy(*KEY).agg(*_moments())
+    return _beside(rows, cut, KEY, groups).where("d <= cut").groupBy(*KEY).agg(*_moments())
 
 
-def _estimates(rows: DataFrame) -> DataFrame:
+def _estimates(rows: DataFrame, groups: int) -> DataFrame:
     """The tightest core of each ``grp``: ``m``, ``w`` (both scaled for a normal core) by group.
 
     Starts: distances from the medians in units of the median deviations, as they are, and cut off at
@@ -185,7 +202,7 @@ def _estimates(rows: DataFrame) -> DataFrame:
     columns = [f"x{i}" for i in range(SIZE)]
     half = lambda c: F.percentile_approx(c, 0.5, ACCURACY)
     middle = rows.groupBy("grp").agg(*[half(c).alias(f"{c}_mid") for c in columns])
-    centred = rows.join(middle, "grp")
+    centred = _beside(rows, middle, ["grp"], groups)
     spread = centred.groupBy("grp").agg(
         *[half(F.abs(F.col(c) - F.col(f"{c}_mid"))).alias(f"{c}_mad") for c in columns]
     )
@@ -193,15 +210,15 @@ def _estimates(rows: DataFrame) -> DataFrame:
         F.pow((F.col(c) - F.col(f"{c}_mid")) / F.greatest(1.4826 * F.col(f"{c}_mad"), F.lit(f)), 2)
         for c, f in zip(columns, FLOORS, strict=True)
     ]
-    started = centred.join(spread, "grp").select("grp", *columns, F.explode(F.array(
+    started = _beside(centred, spread, ["grp"], groups).select("grp", *columns, F.explode(F.array(
         F.struct(F.lit(0).alias("start"), sum(unit, F.lit(0.0)).alias("d")),
         F.struct(F.lit(1).alias("start"), sum((F.least(u, F.lit(1.0)) for u in unit), F.lit(0.0)).alias("d")),
     )).alias("s")).select("grp", *columns, "s.*")
-    model = stage(_inverted(_nearest(started), KEY), "quality-start")
+    model = stage(_inverted(_nearest(started, groups), KEY), "quality-start")
     doubled = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     for _ in range(MAX_STEPS):
-        ranked = doubled.join(model, KEY).withColumn("d", _distance()).select(*KEY, *columns, "d")
-        after = stage(_inverted(_nearest(ranked), KEY), "quality-step")
+        ranked = _beside(doubled, model, KEY, groups).withColumn("d", _distance()).select(*KEY, *columns, "d")
+        after = stage(_inverted(_nearest(ranked, groups), KEY), "quality-step")
         before = model.select(*KEY, F.col("volume").alias("before"))
         model, moved = after, after.join(before, KEY).where(F.abs(F.col("volume") - F.col("before")) > SETTLED)
         if moved.isEmpty():
@@ -231,30 +248,35 @@ def fit(counted: DataFrame, lang: str = "lang", source: str = "source") -> DataF
         .select("lang", "source", "grp"),
         "quality-groups",
     )
-    named = stage(
-        _with(rows, groups, "lang", "source").select("grp", *[f"x{i}" for i in range(SIZE)]), "quality-vectors"
-    )
-    enough = named.groupBy("grp").count().where(F.col("count") >= MIN_GROUP).select("grp")
-    estimates = _estimates(named.join(enough, "grp", "left_semi"))
+    columns = [f"x{i}" for i in range(SIZE)]
+    named = stage(_with(rows, groups, "lang", "source").select("grp", *columns), "quality-vectors")
+    enough = stage(named.groupBy("grp").count().where(F.col("count") >= MIN_GROUP).select("grp"), "quality-enough")
+    estimated = enough.count()
+    estimates = _estimates(_beside(named, enough, ["grp"], estimated), estimated)
     return stage(groups.join(estimates, "grp", "left").drop("grp"), "quality-model")
 
 
 def _with(rows: DataFrame, model: DataFrame, lang: str, source: str) -> DataFrame:
-    right = model.withColumnsRenamed({"lang": "_m_lang", "source": "_m_source"})
-    on = rows[lang].eqNullSafe(right["_m_lang"]) & rows[source].eqNullSafe(right["_m_source"])
-    return rows.join(right, on, "left").drop("_m_lang", "_m_source")
+    """``rows`` with what ``model`` has for their language and source; nulls are values."""
+    key = lambda a, b: F.to_json(F.struct(a.alias("lang"), b.alias("source")))
+    keyed = rows.withColumn("_q_key", key(rows[lang], rows[source]))
+    side = model.withColumn("_q_key", key(F.col("lang"), F.col("source"))).drop("lang", "source")
+    return _beside(keyed, side, ["_q_key"], model.count(), "left").drop("_q_key")
 
 
 def judge(counted: DataFrame, model: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """``counted`` with ``base_failed``, ``distance`` (squared, given the length; null without an estimate)
     and ``kept``.  A row whose group has no estimate is kept if it passes the base rules."""
     limit = chi_square_quantile(1 - REJECTED, SIZE - 1)
-    names = counted.columns
-    scored = _with(counted.withColumn("_q_x", F.when(F.col("n_words") > 0, _vector())), model, lang, source)
-    scored = scored.withColumns({f"x{i}": F.get("_q_x", F.lit(i)) for i in range(SIZE)})
-    return scored.select(
-        *names, base_failed().alias("base_failed"), _distance(first=1).alias("distance")
-    ).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True)))
+    names = [c for c in counted.columns if c not in ("base_failed", "distance", "kept")]
+    held = counted.select(
+        F.struct(*names).alias("_q_row"), counted[lang].alias("lang"), counted[source].alias("source"),
+        base_failed().alias("base_failed"), F.when(F.col("n_words") > 0, _vector()).alias("_q_x"),
+    )
+    scored = _with(held, model, "lang", "source").withColumns({f"x{i}": F.get("_q_x", F.lit(i)) for i in range(SIZE)})
+    return scored.select("_q_row.*", "base_failed", _distance(first=1).alias("distance")).withColumn(
+        "kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
+    )
 
 
 # --- chi-square -------------------------------------------------------------------------------

@@ -244,7 +244,7 @@ def test_first_holders_over_blocks_and_batches():
         for batch in settle(u, k, 5):
             for r in batch.to_pylist():
                 firsts = r["firsts"] or [None] * len(r["keys"])
-                (known if r["firsts"] else open_).extend((key_, r["uid"], f) for key_, f in zip(r["keys"], firsts))
+                (known if r["firsts"] else open_).extend(zip(r["keys"], r["uids"], firsts, strict=True))
     merged = sorted(open_ + known, key=lambda r: r[:2])
     for size in (1, 3, 1000):
         batches = [
