@@ -165,7 +165,7 @@ class Edge:
         return f"{self.child}.{self.child_key} -> {self.parent}.{self.parent_key}"
 
 
-# the five references that the authors check by hand after an import
+# fixed values: the five references that are checked by hand after an import
 CHECKED_EDGES = (
     Edge("branded_food", "fdc_id", "food", "fdc_id"),
     Edge("food_nutrient", "fdc_id", "food", "fdc_id"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import count
 
 from pyspark.sql import Column
@@ -29,14 +29,29 @@ def identifier(raw: str) -> str:
     return f"c_{name}" if name[0].isdigit() else name
 
 
+def choose_names(names: Iterable[str], only: Sequence[str] = (), skip: Sequence[str] = ()) -> list[str]:
+    """The names that a user's lists leave: names on ``only`` in its order (without one: all, sorted), less
+    those on ``skip``.  Spelling is compared as identifiers; nothing left is an error."""
+    by_plain = {identifier(n): n for n in sorted(names)}
+    asked = dict.fromkeys(map(identifier, only)) or by_plain
+    left = asked.keys() - set(map(identifier, skip))
+    chosen = [by_plain[plain] for plain in asked if plain in by_plain and plain in left]
+    if not chosen:
+        raise ValueError("no table or layout is selected")
+    return chosen
+
+
 def unique_identifiers(names: Sequence[str]) -> list[str]:
     """Normalise a header row; the n-th repeat of a name gets the suffix ``_n``.
 
-    A literal header such as ``a_2`` may still collide with a numbered repeat of ``a``.
+    A literal header such as ``a_2`` that collides with a numbered repeat of ``a`` is an error.
     """
     repeats: dict[str, Iterator[int]] = defaultdict(lambda: count(1))
     numbered = ((base, next(repeats[base])) for base in map(identifier, names))
-    return [base if n == 1 else f"{base}_{n}" for base, n in numbered]
+    names = [base if n == 1 else f"{base}_{n}" for base, n in numbered]
+    if len(set(names)) < len(names):
+        raise ValueError(f"headers that share a name: {sorted(n for n in set(names) if names.count(n) > 1)}")
+    return names
 
 
 def column_type(table: Column, column: Column) -> Column:

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from granary import catalog
 
-_RANK, _SALT = "_rank", "_salt"
-SALTS = 16
+_RANK, _LISTED = "_rank", "_listed"
 SCORE_FIELDS = (*catalog.PRODUCT_TEXT_FIELDS, catalog.PRODUCT_TIME_FIELD)
 
 
@@ -88,21 +87,20 @@ def completeness_score(
     ]
 
 
-def split_by_list(
-    df: DataFrame, codes: DataFrame, key: str, order: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key is not in the list, and rows whose key is.
+def with_listed(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
+    """Add whether the key is on the list, by one join with the distinct list.
 
-    Rows of a key are spread over salts by their position and the list is repeated per salt, so a
-    key that fills a large part of the table is checked by many tasks.
+    Adaptive execution splits the rows of a key that fills a large part of the table.
     """
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*order), F.lit(SALTS)))
-    listed = codes.select("code", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    match = (F.col(key) == F.col("code")) & (F.col(_SALT) == F.col("salt"))
-    return (
-        salted.join(listed, match, "left_anti").drop(_SALT),
-        salted.join(listed, match, "left_semi").drop(_SALT),
-    )
+    listed = codes.select(F.col("code").alias("_code")).distinct().withColumn(_LISTED, F.lit(True))
+    joined = df.join(listed, F.col(key) == F.col("_code"), "left").drop("_code")
+    return joined.withColumn(_LISTED, F.coalesce(_LISTED, F.lit(False)))
+
+
+def split_by_list(df: DataFrame, codes: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is not in the list, and rows whose key is."""
+    marked = with_listed(df, codes, key)
+    return tuple(marked.where(F.col(_LISTED) == side).drop(_LISTED) for side in (False, True))
 
 
 def resolve_listed(
@@ -113,7 +111,7 @@ def resolve_listed(
     With a complete list this equals :func:`keep_best`, which needs one shuffle less.
     ``resolved`` tells the two kinds apart.
     """
-    passed, listed = split_by_list(df, codes, key, order)
+    passed, listed = split_by_list(df, codes, key)
     return passed.withColumn("resolved", F.lit(False)).unionByName(
         keep_best(listed, key, score, order).withColumn("resolved", F.lit(True))
     )

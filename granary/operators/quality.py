@@ -263,38 +263,39 @@ def throughput(inventory: DataFrame, elapsed_seconds: Column | float) -> DataFra
 
 # --- dictionary coverage ----------------------------------------------------------------------
 
-MAX_DICTIONARY_CHARS = 32 * 1024 * 1024
 NO_BREAK_SPACE = "\u00a0"
 
 
-def _dictionary_text(dictionary: str) -> str:
-    if len(dictionary) > MAX_DICTIONARY_CHARS:
-        raise ValueError(f"a dictionary may hold {MAX_DICTIONARY_CHARS} characters")
-    return dictionary
+def _beside(inventory: DataFrame, dictionary: str | DataFrame) -> DataFrame:
+    """The inventory with the dictionary's text (one document) as column ``_text``."""
+    if isinstance(dictionary, str):
+        dictionary = inventory.sparkSession.createDataFrame([(dictionary,)], "text string")
+    return inventory.join(dictionary.select(F.col("text").alias("_text")))
 
 
 def dictionary_coverage(
-    inventory: DataFrame, dictionary: str, table: str = "table", header: str = "header"
+    inventory: DataFrame, dictionary: str | DataFrame, table: str = "table", header: str = "header"
 ) -> DataFrame:
     """Add ``table_found`` (whole word) and ``header_found`` (anywhere) to an inventory.
 
-    The dictionary is one document and travels with the plan, so its size is checked.  Blank
-    headers are left out.
+    The dictionary is one document: a text, or a frame with one row ``text``.  Blank headers are left out.
     """
-    text = _dictionary_text(dictionary).replace(NO_BREAK_SPACE, " ")
     token = strip(F.col(header))
-    words = F.array_distinct(F.split(F.lit(text), r"(?U)\W+"))
-    return inventory.where(token != "").select(
-        "*",
-        F.array_contains(words, F.col(table)).alias("table_found"),
-        F.lit(text).contains(token).alias("header_found"),
+    text = F.translate("_text", NO_BREAK_SPACE, " ")
+    return (
+        _beside(inventory.where(token != ""), dictionary)
+        .withColumn("table_found", F.array_contains(F.split(text, r"(?U)\W+"), F.col(table)))
+        .withColumn("header_found", F.contains(text, token))
+        .drop("_text")
     )
 
 
-def tables_not_mentioned(inventory: DataFrame, dictionary: str, table: str = "table") -> DataFrame:
+def tables_not_mentioned(
+    inventory: DataFrame, dictionary: str | DataFrame, table: str = "table"
+) -> DataFrame:
     """Tables whose name the dictionary mentions nowhere, not even inside a word."""
-    text = F.lit(_dictionary_text(dictionary))
-    return inventory.select(table).distinct().where(~text.contains(F.col(table)))
+    named = _beside(inventory.select(table).distinct(), dictionary)
+    return named.where(~F.contains("_text", F.col(table))).select(table)
 
 
 def coverage_by_table(coverage: DataFrame, table: str = "table") -> DataFrame:

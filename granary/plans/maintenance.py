@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from granary.sinks.events import job_events, log_events
+from granary.sinks.events import RunLog
 from granary.sinks.layout import select_access_paths, write_layout
 from granary.sinks.tables import read_table, table_ddl
 from granary.sources.tables import list_tables
@@ -31,23 +31,19 @@ def layout_tables(
     """
     paths = select_access_paths(only, skip)
     existing = {r["table"] for r in list_tables(spark, database).collect()}
-    events: list[tuple[str, dict[str, object]]] = [
-        ("index_run_start", {"schema": database, "indexes": len(paths),
-                             "selected": [p.name for p in paths]})
-    ]
+    log = RunLog(spark, log_path, log_format)
+    log.event("index_run_start", schema=database, indexes=len(paths), selected=[p.name for p in paths])
     written: dict[str, str] = {}
     for p in paths:
         if p.table not in existing:
-            events.append(("index_skip_missing_table", {"index": p.name, "table": p.table}))
+            log.event("index_skip_missing_table", index=p.name, table=p.table)
             continue
-        events.append(("index_start", {"index": p.name, "table": p.table}))
+        log.event("index_start", index=p.name, table=p.table)
         started = time.time()
         written[p.name] = f"{location.rstrip('/')}/{p.name}"
         write_layout(read_table(spark, database, p.table), p.column, written[p.name], partitions)
-        events.append(("index_done", {"index": p.name, "seconds": round(time.time() - started, 2)}))
-    events.append(("index_run_done", {}))
-    if log_path:
-        log_events(job_events(spark, events), log_path, log_format)
+        log.event("index_done", index=p.name, seconds=round(time.time() - started, 2))
+    log.event("index_run_done")
     return written
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from granary import catalog
 from granary.functions.text import digits_key
 from granary.operators.dedupe import duplicate_keys, profile_duplicates
-from granary.session import stage
-from granary.sinks.events import job_events, log_events
+from granary.session import cleans_staged, stage
+from granary.sinks.events import RunLog
 from granary.sinks.files import write_code_list, write_manifest
 from granary.sources.delimited import (
     MAX_CELL_CHARS,
@@ -54,6 +54,7 @@ def manifest_row(
     return merged.withColumns(fields).select(*sorted(set(merged.columns) | set(fields)))
 
 
+@cleans_staged
 def preflight_products(
     spark: SparkSession,
     path: str,
@@ -70,6 +71,8 @@ def preflight_products(
     """Write the manifest (and the duplicate list) of an export; returns the manifest row."""
     file = combined_fingerprint(fingerprint(spark, path)).first()
     used, detected = choose_delimiter(read_header_line(spark, path), delimiter)
+    log = RunLog(spark, log_path, log_format)
+    log.event("dialect", delimiter=repr(used), detected=repr(detected))
     started = time.time()
     codes = stage(product_codes(spark, path, used, max_chars, encoding_errors), "codes")
     duplicates = stage(duplicate_keys(codes, "code_norm"), "duplicates")
@@ -91,16 +94,9 @@ def preflight_products(
     done = spark.createDataFrame(manifest.collect(), manifest.schema)  # one row
     done = done.withColumn("sort_seconds", F.lit(round(time.time() - started, 2)))
     write_manifest(done, manifest_out)
-    if log_path:
-        row = done.first()
-        log_events(
-            job_events(spark, [
-                ("dialect", {"delimiter": repr(used), "detected": repr(detected)}),
-                ("preflight_done", {
-                    "manifest": manifest_out, "codes_total": row["code_total"],
-                    "duplicates_found": row["duplicates_found"], "seconds": row["sort_seconds"],
-                }),
-            ]),
-            log_path, log_format,
-        )
+    row = done.first()
+    log.event(
+        "preflight_done", manifest=manifest_out, codes_total=row["code_total"],
+        duplicates_found=row["duplicates_found"], seconds=row["sort_seconds"],
+    )
     return done

@@ -28,8 +28,8 @@ from granary.operators.quality import (
     run_totals,
 )
 from granary.operators.reshape import nutrient_table, product_rows, product_table
-from granary.session import stage
-from granary.sinks.events import job_events, log_events
+from granary.session import cleans_staged, stage
+from granary.sinks.events import RunLog
 from granary.sinks.tables import (
     append_provenance,
     create_database,
@@ -73,6 +73,28 @@ def source_columns(header: list[str], nutrients: str, include_salt: bool) -> lis
     return fixed + [f.source_field for f in catalog.nutrient_fields(include_salt)]
 
 
+def rows_read(
+    rows: DataFrame,
+    order: tuple[str, ...],
+    dedupe: str,
+    codes: DataFrame | None = None,
+    max_rows: int = 0,
+    block: tuple[str, ...] = (SOURCE_FILE, SOURCE_BLOCK),
+) -> DataFrame:
+    """The rows up to and including the ``max_rows``-th that is kept without waiting for others of its
+    code: the first of a code, or one of a code that is not resolved by score."""
+    if not max_rows:
+        return rows
+    counted = with_key(rows)
+    if dedupe == "memory":
+        counted = keep_first(counted, "code_norm", order)
+    elif dedupe == "best":
+        codes = duplicate_keys(counted, "code_norm")
+    if codes is not None:
+        counted, _ = split_by_list(counted, codes, "code_norm")
+    return row_cap(rows, counted, order, max_rows, [F.col(b) for b in block])
+
+
 def resolve_rows(
     rows: DataFrame,
     order: tuple[str, ...],
@@ -82,22 +104,15 @@ def resolve_rows(
     block: tuple[str, ...] = (SOURCE_FILE, SOURCE_BLOCK),
 ) -> DataFrame:
     """One row per code: all rows, the first, the best, or the best for listed codes only."""
-    keyed = with_key(rows)
-    pieces = [F.col(b) for b in block]
+    keyed = with_key(rows_read(rows, order, dedupe, codes, max_rows, block))
     score = completeness_score(F.col("emitted"))
     if dedupe == "memory":
-        first = keep_first(keyed, "code_norm", order)
-        counted = first if codes is None else split_by_list(first, codes, "code_norm", order)[0]
-        return row_cap(first, counted, order, max_rows, pieces)
-    if dedupe == "best" and not max_rows:
-        return keep_best(keyed, "code_norm", score, order)
+        return keep_first(keyed, "code_norm", order)
     if dedupe == "best":
-        codes = duplicate_keys(keyed, "code_norm")  # the cap counts rows of unrepeated codes only
+        return keep_best(keyed, "code_norm", score, order)
     if codes is None:
-        return row_cap(keyed, keyed, order, max_rows, pieces)
-    passed, _ = split_by_list(keyed, codes, "code_norm", order)
-    read = row_cap(keyed, passed, order, max_rows, pieces)
-    return resolve_listed(read, codes, "code_norm", score, order).drop("resolved")
+        return keyed
+    return resolve_listed(keyed, codes, "code_norm", score, order).drop("resolved")
 
 
 def load_products(
@@ -120,7 +135,9 @@ def load_products(
     """
     typed, fields, names = product_rows(raw, nutrients, include_salt, keep=order)
     rows = stage(typed, "product-rows")
-    winners = stage(resolve_rows(rows, order, dedupe, codes, max_rows, block), "product-winners")
+    if max_rows:
+        rows = stage(rows_read(rows, order, dedupe, codes, max_rows, block), "product-rows-read")
+    winners = stage(resolve_rows(rows, order, dedupe, codes), "product-winners")
     return ProductLoad(rows, product_table(winners), nutrient_table(winners, fields, names))
 
 
@@ -132,6 +149,7 @@ def _resolve_path(manifest_path: str, listed: str) -> str:
     return f"{folder}{slash}{listed}"
 
 
+@cleans_staged
 def import_products(
     spark: SparkSession,
     path: str,
@@ -160,6 +178,7 @@ def import_products(
     if dedupe not in DEDUPE:
         raise ValueError(f"dedupe must be one of {', '.join(DEDUPE)}")
     started = time.time()
+    log = RunLog(spark, log_path, log_format)
     identity = stage(combined_fingerprint(fingerprint(spark, path)), "fingerprint")
     file = identity.first()
     if file["files"] == 0:
@@ -178,6 +197,7 @@ def import_products(
     gate_duplicates(has_duplicates, keep_first=dedupe != "none", has_codes=codes is not None)
 
     used, detected = choose_delimiter(read_header_line(spark, path), delimiter)
+    log.event("dialect", delimiter=repr(used), detected=repr(detected))
     header = read_header(spark, path, used)
     if catalog.PRODUCT_KEY_FIELD not in header:
         raise InputError(f"{path} has no column {catalog.PRODUCT_KEY_FIELD}")
@@ -211,16 +231,10 @@ def import_products(
         spark, database, file_path=path, file_sha256=file["file_sha256"],
         file_bytes=file["file_bytes"], delimiter=used, nutrients_mode=nutrients, table=PROVENANCE,
     )
+    resolved = duplicate_keys(load.rows, "code_norm") if dedupe == "best" else codes
     totals = run_totals(
-        load.rows, load.products, load.nutrients, keep_first=dedupe == "memory", listed=codes
+        load.rows, load.products, load.nutrients, keep_first=dedupe == "memory", listed=resolved
     ).withColumn("seconds", F.lit(round(time.time() - started, 2)))
     done = spark.createDataFrame(totals.collect(), totals.schema)  # one row
-    if log_path:
-        log_events(
-            job_events(spark, [
-                ("dialect", {"delimiter": repr(used), "detected": repr(detected)}),
-                ("done", done.first().asDict()),
-            ]),
-            log_path, log_format,
-        )
+    log.event("done", **done.first().asDict())
     return done

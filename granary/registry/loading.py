@@ -27,7 +27,7 @@ from granary.registry.duplicates import _BEST, _COLUMNS, _resolved
 from granary.registry.reshape import sql_long_rows
 from granary.registry.text import DATES, sql_date
 from granary.session import scratch_path
-from granary.sinks.events import event_rows, log_events, read_events
+from granary.sinks.events import event_rows, field, log_events, read_events
 from granary.sinks.tables import (
     create_database,
     create_table,
@@ -249,10 +249,9 @@ def _run_events(spark, sf_dir):
     path = scratch_path(spark, "events")
     names = ("user_id", "event_type", "rows")
     log_events(event_rows(done, "table_done", {n: F.col(n) for n in names}), path)
-    fields = F.col("fields")
     return read_events(spark, path).select(
-        "event", fields["user_id"].cast("bigint").alias("user_id"), fields["event_type"].alias("event_type"),
-        fields["rows"].cast("bigint").alias("rows"),
+        "event", field("user_id").cast("bigint").alias("user_id"), field("event_type").alias("event_type"),
+        field("rows").cast("bigint").alias("rows"),
         F.col("ts").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$").alias("stamped"),
     )
 

@@ -267,7 +267,7 @@ def _dictionary(spark, sf_dir):
     words = table(spark, sf_dir, "nation").select(F.col("n_name").alias("word")).unionByName(
         table(spark, sf_dir, "region").select(F.col("r_name").alias("word"))
     )
-    return " ".join(r["word"] for r in words.orderBy("word").collect())  # 30 rows at every scale
+    return words.agg(F.array_join(F.array_sort(F.collect_list("word")), " ").alias("text"))  # names of 30 places
 
 
 def _inventory(spark, sf_dir):

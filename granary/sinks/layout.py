@@ -13,28 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.catalog import ACCESS_PATHS, AccessPath
+from granary.functions.rules import choose_names
 
 ROWS_PER_FILE = 5_000_000
 ROW_GROUP_BYTES = 8 * 1024 * 1024
 SALT = "_salt"
 
 
-def _plain(name: str) -> str:
-    return name.strip().lower().replace("-", "_")
-
-
 def select_access_paths(
     only: Sequence[str] = (), skip: Sequence[str] = (), paths: Sequence[AccessPath] = ACCESS_PATHS
 ) -> list[AccessPath]:
     """Access paths by name, in catalog order; nothing left is an error."""
-    allowed, denied = set(map(_plain, only)), set(map(_plain, skip))
-    kept = [
-        p for p in paths
-        if (not allowed or _plain(p.name) in allowed) and _plain(p.name) not in denied
-    ]
-    if not kept:
-        raise ValueError("no access path is selected")
-    return kept
+    chosen = set(choose_names((p.name for p in paths), only, skip))
+    return [p for p in paths if p.name in chosen]
 
 
 def write_layout(df: DataFrame, column: str, path: str, partitions: int | None = None) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary import catalog
+from granary.operators.quality import GateError
 from granary.session import stage
 from granary.sources.tables import list_tables
 
 MODES = ("append", "overwrite")
-HOT_BUCKETS = 4  # how many average buckets one value may fill
+HOT_BUCKETS = 4.0  # how many average buckets one value may fill
 
 
 def _name(database: str, table: str) -> str:
@@ -49,12 +50,14 @@ def _database_location(spark: SparkSession, database: str) -> str:
 def write_table(
     df: DataFrame, database: str, table: str, *, mode: str = "append",
     partition_by: tuple[str, ...] = (), check: Callable[[DataFrame], None] | None = None,
+    keys: Sequence[str] = (),
 ) -> None:
     """Append rows, or replace the table's contents, matching columns by name.
 
     A replacement is written to a new folder first and the table is pointed to it when the job has
-    committed, so a failed load leaves the old rows in place.  ``check`` sees the rows the table is
-    about to hold, already written, and raises to refuse them.
+    committed, so a failed load leaves the old rows in place.  ``check`` sees the new rows, already
+    written, and raises to refuse them; rows whose ``keys`` an appended table holds already are refused
+    by a semi join, so an append never groups the old rows again.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
@@ -66,7 +69,9 @@ def write_table(
         rows = df.select(*[F.col(f"`{c}`") for c in old.columns])
         if check is not None:
             rows = stage(rows, table)
-            check(old.unionByName(rows))
+            check(rows)
+            if keys:
+                _refuse_known(rows, old, keys, table)
         rows.write.insertInto(name)
         return
     path = f"{_database_location(spark, database)}/{table}-{uuid.uuid4().hex}"
@@ -83,20 +88,26 @@ def write_table(
         spark.catalog.recoverPartitions(name)
 
 
+def _refuse_known(rows: DataFrame, old: DataFrame, keys: Sequence[str], table: str) -> None:
+    known = rows.join(old.select(*keys), list(keys), "left_semi").first()
+    if known:
+        raise GateError(f"{table}: key {', '.join(keys)} is there already: {[known[k] for k in keys]}")
+
+
 def write_bucketed(
-    df: DataFrame, database: str, table: str, column: str, buckets: int
-) -> bool:
-    """A new table bucketed and sorted by a join column; says whether it was bucketed.
+    df: DataFrame, database: str, table: str, column: str, buckets: int, hot_buckets: float = HOT_BUCKETS
+) -> None:
+    """A new table bucketed and sorted by a join column.
 
     Two tables with equal buckets join on the column without a shuffle, but a bucket is read by one
-    task.  So the hottest value is measured first: when it would outgrow a few average buckets the
-    table is written plainly, and its joins are shuffled and split by adaptive execution.
+    task.  So the hottest value is measured first, and a value that would fill more than ``hot_buckets``
+    average buckets is refused: such a table is better written plainly, as adaptive execution splits its
+    joins.  Infinity allows any value.
     """
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
     size = counts.agg(F.max("n").alias("hottest"), F.sum("n").alias("rows")).first()
-    if (size["hottest"] or 0) * buckets > HOT_BUCKETS * (size["rows"] or 0):
-        write_table(df, database, table)
-        return False
+    if (size["hottest"] or 0) * buckets > hot_buckets * (size["rows"] or 0):
+        raise ValueError(f"{table}: one value of {column} fills {size['hottest']} of {size['rows']} rows")
     path = f"{_database_location(df.sparkSession, database)}/{table}-{uuid.uuid4().hex}"
     (
         df.repartition(buckets, column)
@@ -106,7 +117,6 @@ def write_bucketed(
         .option("path", path)
         .saveAsTable(_name(database, table))
     )
-    return True
 
 
 def truncate_table(spark: SparkSession, database: str, table: str) -> None:

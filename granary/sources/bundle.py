@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary import catalog
-from granary.functions.rules import identifier, infer_schema, primary_key, unique_identifiers
+from granary.functions.rules import choose_names, identifier, infer_schema, primary_key, unique_identifiers
 from granary.functions.text import normalize_identifier
 from granary.sources.delimited import COMMA, read_delimited, read_header
 from granary.sources.files import file_names
@@ -42,12 +42,7 @@ def select_tables(
     names: Iterable[str], only: Sequence[str] = (), skip: Sequence[str] = ()
 ) -> list[str]:
     """Apply the allow list, then the deny list; the allow list also gives the order."""
-    order = requested_order(only)
-    denied = set(map(identifier, skip))
-    kept = [n for n in sorted(names) if (not order or n in order) and n not in denied]
-    if not kept:
-        raise ValueError("no table is selected")
-    return sorted(kept, key=lambda n: (order.get(n, len(order)), n))
+    return choose_names(names, only, skip)
 
 
 def select_table_rows(

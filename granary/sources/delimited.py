@@ -24,7 +24,7 @@ from granary.sources.files import file_names
 
 TAB, COMMA = "\t", ","
 MAX_CELL_CHARS = 2_000_000  # fixed value: default size limit of a cell
-MAX_COLUMNS = 100_000
+SPARE_COLUMNS = 20_480  # room for records that are longer than the header
 CORRUPT = "_corrupt"
 SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW = "_src_file", "_src_block", "_src_row"
 SOURCE_ORDER = (SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW)
@@ -182,11 +182,12 @@ def read_delimited(
         .option("sep", used)
         .option("quote", '"')
         .option("escape", '"')
+        .option("charToEscapeQuoteEscaping", '"')  # else a NUL in a quoted cell would vanish
         .option("multiLine", bool(multiline))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxCharsPerColumn", max_chars)
-        .option("maxColumns", MAX_COLUMNS)
+        .option("maxColumns", 4 * len(header) + SPARE_COLUMNS)
         .option("columnPruning", not strict)  # a pruned parse would not see a wrong width
         .csv(path)
     )

@@ -24,12 +24,11 @@ NO_RUN = "0"
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType
 ) -> DataFrame:
-    """Parquet files that arrive in a folder, each read once per checkpoint."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
-    )
+    """Parquet files that arrive in a folder, each read once per checkpoint; all that are there when a
+    load starts are one batch, so which row of a key comes first does not depend on a batch size."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def _target_schema(schema: T.StructType) -> T.StructType:

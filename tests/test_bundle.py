@@ -16,7 +16,7 @@ from granary.operators.quality import (
     missing_references,
 )
 from granary.plans.bundle import LoadError, numbered_source
-from granary.sinks.events import read_events
+from granary.sinks.events import field, read_events
 from granary.sinks.layout import select_access_paths
 from granary.sources import load_bundle, select_tables
 from granary.sources.bundle import bundle_sources
@@ -113,10 +113,10 @@ def test_import_checks_and_joins(spark, bundle, database, tmp_path):
     assert enrich.cross_source_matches(t["branded_food"], products).first()["product_name"] == "Oil"
 
     events = read_events(spark, log)
-    names = [r["event"] for r in events.collect()]
+    names = [r["event"] for r in events.orderBy("ts", F.col("event") == "run_done", F.col("event") != "run_start").collect()]
     assert names[0] == "run_start" and names[-1] == "run_done" and names.count("table_done") == len(TABLES)
     assert set(names) <= set(catalog.BUNDLE_EVENTS)
-    assert events.where("event = 'dictionary_miss_headers' and fields['table'] = 'food'").first()["fields"]["missing_headers"] == "1"
+    assert events.where(F.col("event") == "dictionary_miss_headers").where(field("table") == "food").select(field("missing_headers")).first()[0] == "1"
     assert events.where("event = 'dictionary_miss_table'").count() == len(TABLES) - 1
 
     written = plans.layout_tables(spark, database, str(tmp_path / "layout"), skip=["food-description-idx"], partitions=2,
@@ -180,7 +180,7 @@ def test_resume_and_reconcile(spark, bundle, database, tmp_path):
     log = str(tmp_path / "log")
     plans.import_bundle(spark, str(bundle), database, only=["food"], resume=True, log_path=log, log_format="jsonl")
     assert sorted(r["fdc_id"] for r in spark.table(f"{database}.food").collect()) == [1, 2, 3, 4, 5]
-    events = {r["event"]: r["fields"] for r in read_events(spark, log).collect()}
+    events = {r["event"]: dict(r["fields"]) for r in read_events(spark, log).collect()}
     assert events["expected_rows_mismatch"]["csv_rows"] == "5" and events["table_resume"]["existing_rows"] == "4"
     plans.import_bundle(spark, str(bundle), database, only=["food"], resume=True, log_path=log, log_format="text")
     assert spark.table(f"{database}.food").count() == 5

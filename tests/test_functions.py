@@ -1,3 +1,4 @@
+import pytest
 import random
 import re
 
@@ -49,15 +50,21 @@ def test_identifiers(spark):
     assert column(spark, raw, normalize_identifier) == want
     assert [identifier(r) for r in raw] == want
     assert unique_identifiers(["a", "a", "b"]) == ["a", "a_2", "b"]
-    assert unique_identifiers(["A", "a", "a_2"]) == ["a", "a_2", "a_2"]
+    with pytest.raises(ValueError, match="a_2"):
+        unique_identifiers(["A", "a", "a_2"])
     assert column(spark, [" Food-Idx "], normalize_layout_name) == ["food_idx"]
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="aA1 ._-", max_size=4), max_size=12))
 def test_unique_identifiers_are_numbered(names):
-    out = unique_identifiers(names)
     bases = [identifier(n) for n in names]
+    numbered = [b if (n := bases[: i + 1].count(b)) == 1 else f"{b}_{n}" for i, b in enumerate(bases)]
+    if len(set(numbered)) < len(numbered):
+        with pytest.raises(ValueError, match="share a name"):
+            unique_identifiers(names)
+        return
+    out = unique_identifiers(names)
     for i, base in enumerate(bases):
         n = bases[: i + 1].count(base)
         assert out[i] == (base if n == 1 else f"{base}_{n}")
