@@ -6,7 +6,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from granary.llm import quality
-from pyspark.sql import functions as F
 
 SPACE = re.compile("[\x20\x09-\x0d]+")
 
@@ -161,6 +160,7 @@ def test_verdicts(documents, corpus, graded, broadcast, monkeypatch):
 def test_empty_and_tied_tables(documents):
     counted = quality.text_counts(documents([(1, "x")]).limit(0))
     assert quality.judge(counted, quality.fit(counted)).count() == 0
-    same = [(i, "\n".join(f"word{i}{j} and more of it {j}" for j in range(20)).replace(str(i), ""), None, None) for i in range(200)]
-    counted = quality.text_counts(documents(same).withColumn("text", F.lit(same[0][1])))
+    text = "\n".join(" ".join(f"word{j}x{k}" for k in range(6)) for j in range(20))
+    counted = quality.text_counts(documents([(i, text, None, None) for i in range(200)])).cache()
     assert quality.judge(counted, quality.fit(counted)).where("kept").count() == 200
+    counted.unpersist()
