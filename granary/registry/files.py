@@ -65,6 +65,32 @@ def _csv_multiline(spark, sf_dir):
     return read_delimited(spark, path, sep=",", strict=True).select(F.col("id").cast("bigint").alias("id"), "kind", "text")
 
 
+@query("mixed_files", """
+    SELECT c_custkey AS key, CASE WHEN c_custkey % 50 = 7 THEN 'two' || chr(10) || 'lines ' || c_name ELSE c_name END AS name
+    FROM customer
+""")
+def _mixed_files(spark, sf_dir):
+    """Ordered files of which some hold quoted line breaks; only those are read whole."""
+    name = F.when(F.expr("c_custkey % 50 = 7"), F.concat(F.lit("two\nlines "), "c_name")).otherwise(F.col("c_name"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), name.alias("name"))
+    path = scratch_path(spark, "mixed")
+    _write_csv(customers.repartitionByRange(40, "key"), path, quote_all=False)
+    return read_delimited(spark, path, sep=",", strict=True).select(F.col("key").cast("bigint").alias("key"), "name")
+
+
+@query("null_bytes", """
+    SELECT event_id, CASE event_id % 3 WHEN 0 THEN 3 ELSE 2 END AS chars FROM events
+""")
+def _null_bytes(spark, sf_dir):
+    """NUL characters in quoted and bare cells reach the strict scan."""
+    cell = F.expr("CASE event_id % 3 WHEN 0 THEN '\"a\\0b\"' WHEN 1 THEN 'a\\0' ELSE 'ab' END")
+    path = scratch_path(spark, "nul")
+    lines = table(spark, sf_dir, "events").select(F.concat_ws(",", F.col("event_id").cast("string"), cell).alias("line"))
+    _with_header(lines, "event_id,cell", path)
+    return read_delimited(spark, path, sep=",", strict=True).select(
+        F.col("event_id").cast("bigint").alias("event_id"), F.length("cell").alias("chars"))
+
+
 # ragged lines: short and long records, and a repeated header
 _RAGGED = {
     "line": f"{as_text('c_custkey')} || chr(9) || c_name || CASE c_custkey % 4 WHEN 0 THEN '' "

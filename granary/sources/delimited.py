@@ -4,9 +4,9 @@ Spark never names the columns: the header is read once on the driver (metadata o
 gets an explicit all-text schema by position.
 
 Scale.  A file with quoted line breaks, like any gzip file, can only be read by one task.  Before
-the scan one distributed pass over the lines (:func:`profile_lines`) proves whether every line is a
-complete record on its own; if so the file is read in splits, otherwise as a whole.  The same pass
-finds invalid UTF-8, blank lines and headers that differ between files.
+the scan one distributed pass over the lines (:func:`profile_lines`) proves for each file whether every
+line is a complete record on its own; such files are read in splits, the others as a whole.  The same
+pass finds invalid UTF-8, blank lines and headers that differ between files.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -150,48 +151,50 @@ def read_delimited(
     used = sep if strict else choose_delimiter(header_line, sep)[0]
     header = _cells(header_line, used)
 
+    whole: list[str] = []  # files with records that go on over a line break
     if multiline == "auto" and _cannot_split(spark, path):
         multiline = True
     if multiline == "auto" or encoding_errors == "strict":
-        totals = (
-            profile_lines(spark, path, used, header_line)
-            .agg(
-                F.sum("open_lines").alias("open"),
-                F.sum("blank_lines").alias("blank"),
-                F.sum("invalid_lines").alias("invalid"),
-                F.count_if(F.col("same_header") == 0).alias("other"),
-            )
-            .first()
-        )
+        profile = profile_lines(spark, path, used, header_line)
+        totals = profile.agg(
+            F.sum("open_lines").alias("open"),
+            F.sum(F.when(F.col("open_lines") == 0, F.col("blank_lines"))).alias("blank"),
+            F.sum("invalid_lines").alias("invalid"),
+            F.count_if(F.col("same_header") == 0).alias("other"),
+        ).first()
         if encoding_errors == "strict" and totals["invalid"]:
             raise InputError(f"{totals['invalid']} lines of {path} are not valid UTF-8")
         if totals["other"]:
             raise InputError(f"{totals['other']} files at {path} have another header")
-        if multiline == "auto":
-            multiline = totals["open"] > 0
-        if strict and totals["open"] == 0 and totals["blank"]:
+        if strict and totals["blank"]:
             raise InputError(f"{totals['blank']} records of {path} are blank lines")
+        if multiline == "auto":
+            multiline = False
+            if totals["open"]:
+                found = profile.where("open_lines > 0").select("file_path").collect()  # names of files
+                whole = [unquote(r["file_path"]) for r in found]
 
     positional = _positional(len(header))
     fields = [T.StructField(p, T.StringType()) for p in positional]
     if strict:
         fields.append(T.StructField(CORRUPT, T.StringType()))
-    raw = (
+    reader = (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("sep", used)
         .option("quote", '"')
         .option("escape", '"')
         .option("charToEscapeQuoteEscaping", '"')  # else a NUL in a quoted cell would vanish
-        .option("multiLine", bool(multiline))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxCharsPerColumn", max_chars)
         .option("maxColumns", 4 * len(header) + SPARE_COLUMNS)
-        .option("columnPruning", not strict)  # a pruned parse would not see a wrong width
-        .csv(path)
+        .option("columnPruning", False)  # a pruned parse would not see a wrong width or a cell too long
     )
 
+    def scan(files: str | Sequence[str], multi: bool) -> DataFrame:
+        return reader.option("multiLine", multi).csv(files if isinstance(files, str) else list(files))
+
     if strict:
         picked = [F.col(p).alias(n) for p, n in zip(positional, names or header, strict=True)]
         picked.append(F.col(CORRUPT))
@@ -207,7 +210,16 @@ def read_delimited(
             F.col("_metadata.file_block_start").alias(SOURCE_BLOCK),
             F.monotonically_increasing_id().alias(SOURCE_ROW),
         ]
-    return raw.select(*picked)
+    if not whole:
+        return scan(path, bool(multiline)).select(*picked)
+    rest = [name for name in file_names(spark, path) if _bare(name) not in set(map(_bare, whole))]
+    read = scan(whole, True).select(*picked)
+    return read.unionByName(scan(rest, False).select(*picked)) if rest else read
+
+
+def _bare(name: str) -> str:
+    """A file name without the slashes by which listings differ (``file:/x``, ``file:///x``)."""
+    return re.sub(r"^(\w+:)/*", r"\1", name)
 
 
 def record_numbers(df: DataFrame, name: str = "record_number", first: int = 2) -> DataFrame:
