@@ -67,6 +67,9 @@ def _parser() -> argparse.ArgumentParser:
     layout.add_argument("--list", action="store_true")
     selection(layout)
 
+    verify = job("verify")
+    verify.add_argument("--schema", dest="database", required=True)
+
     snapshot = job("snapshot", logs=False)
     snapshot.add_argument("--schema", dest="database", required=True)
     snapshot.add_argument("--output", required=True)
@@ -89,6 +92,8 @@ def main(argv: list[str] | None = None) -> int:
         plans.preflight_products(spark, **options).show(truncate=False)
     elif name == "import-products":
         plans.import_products(spark, **options).show(truncate=False)
+    elif name == "verify":
+        plans.verify_database(spark, **options).show(1000, truncate=False)
     elif name == "layout":
         if not options["location"]:
             raise SystemExit("--location is required")

@@ -19,7 +19,7 @@ from granary.operators.dedupe import (
 )
 from granary.operators.quality import run_totals
 from granary.operators.reshape import fields_for, nutrient_table, product_rows, product_table
-from granary.plans.products import resolve_rows
+from granary.plans.products import load_products, resolve_rows
 from granary.registry.base import (
     EXPORT,
     EXPORT_BLOCK,
@@ -288,3 +288,47 @@ def _run_totals_first(spark, sf_dir):
     rows, _, _ = product_rows(product_export(spark, sf_dir))
     first, fields, names = _resolved(spark, sf_dir, "memory")
     return run_totals(rows, first, nutrient_table(first, fields, names), keep_first=True)
+
+
+_READ_CAPPED = f"""
+    SELECT * FROM ({_TYPED}) t WHERE event_id <= coalesce((
+        SELECT min(event_id) FROM (
+            SELECT event_id, row_number() OVER (ORDER BY event_id) AS n FROM (
+                SELECT event_id, row_number() OVER (PARTITION BY code_norm ORDER BY event_id) AS rn
+                FROM ({_TYPED}) t WHERE code_norm <> '') f WHERE rn = 1) p
+        WHERE n = (SELECT count(*) // 100 FROM events)), event_id)
+"""
+
+
+@query("run_totals_capped", f"""
+    SELECT count(DISTINCT code_norm) FILTER (code_norm <> '') AS products,
+           (SELECT CAST(sum(emitted) AS BIGINT) FROM (
+               SELECT emitted, row_number() OVER (PARTITION BY code_norm ORDER BY event_id) AS rn
+               FROM ({_READ_CAPPED}) r WHERE code_norm <> '') f WHERE rn = 1) AS nutrients,
+           count(*) FILTER (code_norm = '') AS skipped_no_code,
+           count(*) FILTER (code_norm <> '') - count(DISTINCT code_norm) FILTER (code_norm <> '')
+               AS skipped_duplicate_code,
+           CAST(0 AS BIGINT) AS duplicates_resolved
+    FROM ({_READ_CAPPED}) c
+""")
+def _run_totals_capped(spark, sf_dir):
+    """A cap that the load itself applies: what is behind it counts nowhere."""
+    cap = table(spark, sf_dir, "events").count() // 100
+    load = load_products(
+        spark, product_export(spark, sf_dir), dedupe="memory", max_rows=cap, order=EXPORT_ORDER, block=EXPORT_ORDER
+    )
+    return run_totals(load.rows, load.products, load.nutrients, keep_first=True)
+
+
+@query("run_totals_best", f"""
+    SELECT (SELECT count(*) FROM ({_BEST}) b) AS products,
+           (SELECT CAST(sum(emitted) AS BIGINT) FROM ({_BEST}) b) AS nutrients,
+           (SELECT count(*) FROM ({_TYPED}) t WHERE code_norm = '') AS skipped_no_code,
+           CAST(0 AS BIGINT) AS skipped_duplicate_code,
+           (SELECT count(*) FROM (SELECT code_norm FROM ({_TYPED}) t WHERE code_norm <> '' GROUP BY code_norm
+                                  HAVING count(*) > 1) d) AS duplicates_resolved
+""")
+def _run_totals_best(spark, sf_dir):
+    """Every repeated code is resolved, without a list."""
+    load = load_products(spark, product_export(spark, sf_dir), dedupe="best", order=EXPORT_ORDER)
+    return run_totals(load.rows, load.products, load.nutrients, listed=duplicate_keys(load.rows, "code_norm"))

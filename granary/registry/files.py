@@ -242,3 +242,39 @@ def _fingerprint(spark, sf_dir):
 @query("content_fingerprint", "SELECT page_id, sha256(html) AS file_sha256 FROM pages")
 def _content_fingerprint(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.sha2("html", 256).alias("file_sha256"))
+
+
+_NAMES_SQL = """
+    SELECT c_nationkey AS nation, sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS file_sha256,
+           CAST(sum(octet_length(encode(c_name)) + 1) AS BIGINT) AS file_bytes FROM customer GROUP BY c_nationkey
+"""
+
+
+def _name_files(spark, sf_dir):
+    """One text file per nation, the names of its customers in order."""
+    path = scratch_path(spark, "names")
+    names = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.col("c_name").alias("value"))
+    ordered = names.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    ordered.drop("c_custkey").write.partitionBy("c_nationkey").text(path)
+    return path
+
+
+@query("fingerprint_files", _NAMES_SQL)
+def _fingerprint_files(spark, sf_dir):
+    """SHA-256 and size of files whose contents are known."""
+    nation = F.regexp_extract("path", "c_nationkey=([0-9]+)/", 1).cast("int").alias("nation")
+    return fingerprint(spark, f"{_name_files(spark, sf_dir)}/*").select(nation, "file_sha256", "file_bytes")
+
+
+@query("bundle_files", f"""
+    SELECT 'n' || CAST(n.nation AS VARCHAR) AS "table", n.file_bytes AS bytes,
+           CASE WHEN n.nation % 3 = 0 THEN 0 ELSE k.rows END AS expected_rows, n.nation = 7 AS selected
+    FROM ({_NAMES_SQL}) n JOIN (SELECT c_nationkey, count(*) AS rows FROM customer GROUP BY 1) k ON k.c_nationkey = n.nation
+""")
+def _bundle_files(spark, sf_dir):
+    """Inventory of a bundle of known files; a third of them lack an expected count."""
+    files = list_files(spark, f"{_name_files(spark, sf_dir)}/*").select(
+        F.concat(F.lit("n"), F.regexp_extract("path", "c_nationkey=([0-9]+)/", 1), F.lit(".csv")).alias("path"), "length")
+    counts = table(spark, sf_dir, "customer").where("c_nationkey % 3 <> 0").groupBy(
+        F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("table")).agg(F.count("*").alias("expected_rows"))
+    return bundle_inventory(files, counts, only=["N7"])
