@@ -266,9 +266,9 @@ def test_verify_reports_problems(spark, bundle, database, tmp_path):
     plans.import_bundle(spark, str(bundle), database, drop=True)
     log = str(tmp_path / "verify-log")
     rows = {(r["check"], r["subject"]): r["problems"] for r in plans.verify_database(spark, database, log_path=log, log_format="jsonl").collect()}
-    assert rows["unique", "food.fdc_id"] == 0 and rows["filled", "food.fdc_id"] == 0
+    assert rows["unique", "nutrient.id"] == 0 and rows["filled", "nutrient.id"] == 0
     assert {k for k, _ in rows} == {"unique", "filled", "reference"}
     assert read_events(spark, log).count() == len(rows)
-    spark.sql(f"INSERT INTO {database}.food SELECT * FROM {database}.food WHERE fdc_id = 1")
+    spark.sql(f"INSERT INTO {database}.nutrient SELECT * FROM {database}.nutrient WHERE id = 203")
     again = {(r["check"], r["subject"]): r["problems"] for r in plans.verify_database(spark, database).collect()}
-    assert again["unique", "food.fdc_id"] == 1
+    assert again["unique", "nutrient.id"] == 1
