@@ -44,6 +44,7 @@ from granary.sources.delimited import (
     SOURCE_ORDER,
     TAB,
     InputError,
+    cannot_split,
     choose_delimiter,
     read_delimited,
     read_header,
@@ -205,6 +206,8 @@ def import_products(
         spark, path, sep=used, columns=source_columns(header, nutrients, include_salt),
         max_chars=max_chars, encoding_errors=encoding_errors, with_order=True,
     )
+    if cannot_split(spark, path):
+        raw = stage(raw, "product-raw")  # one task unpacks it; the written rows are cleaned by many
     load = load_products(
         spark, raw, nutrients=nutrients, include_salt=include_salt, dedupe=dedupe, codes=codes,
         max_rows=max_rows,

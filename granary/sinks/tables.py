@@ -81,8 +81,12 @@ def write_table(
     writer.save(path)
     if check is not None:
         check(spark.read.schema(df.schema).parquet(path))
+    if exists and not partition_by and spark.table(name).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")  # one statement: there always is a table
+        spark.catalog.refreshTable(name)
+        return
     if exists:
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP TABLE {name}")  # other columns than before
     spark.catalog.createTable(name, path, "parquet")
     if partition_by:
         spark.catalog.recoverPartitions(name)

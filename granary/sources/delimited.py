@@ -108,7 +108,7 @@ def profile_lines(
     )
 
 
-def _cannot_split(spark: SparkSession, path: str | Sequence[str]) -> bool:
+def cannot_split(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether all files are gzip, which one task each reads in any case."""
     return all(name.endswith(".gz") for name in file_names(spark, path))
 
@@ -152,7 +152,7 @@ def read_delimited(
     header = _cells(header_line, used)
 
     whole: list[str] = []  # files with records that go on over a line break
-    if multiline == "auto" and _cannot_split(spark, path):
+    if multiline == "auto" and cannot_split(spark, path):
         multiline = True
     if multiline == "auto" or encoding_errors == "strict":
         profile = profile_lines(spark, path, used, header_line)

@@ -54,7 +54,7 @@ def fingerprint(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .load(path)
-        .where(F.col("length") <= in_memory_bytes)
+        .where((F.col("length") <= in_memory_bytes) & (F.col("length") > 0))
         .select(
             "path",
             F.sha2("content", 256).alias("file_sha256"),
@@ -67,7 +67,10 @@ def fingerprint(
         .repartition("path")
         .mapInPandas(_streamed, FINGERPRINT_SCHEMA)
     )
-    return small.unionByName(large)
+    empty = list_files(spark, path, glob).where("length = 0").select(
+        "path", F.sha2(F.lit(""), 256).alias("file_sha256"), F.col("length").alias("file_bytes")
+    )
+    return small.unionByName(large).unionByName(empty)
 
 
 def combined_fingerprint(files: DataFrame) -> DataFrame:

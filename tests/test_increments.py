@@ -132,7 +132,7 @@ def test_layout_spreads_a_hot_value(spark, tmp_path):
 
 def test_fingerprints_match_hashlib(spark, tmp_path):
     import hashlib
-    contents = {"a.bin": b"x" * 3_000_000, "b.bin": b"hello"}
+    contents = {"a.bin": b"x" * 3_000_000, "b.bin": b"hello", "empty.bin": b""}
     for name, data in contents.items():
         (tmp_path / name).write_bytes(data)
     rows = fingerprint(spark, str(tmp_path), in_memory_bytes=1000).collect()
