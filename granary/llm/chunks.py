@@ -20,6 +20,8 @@ from granary.llm.passages import Hashes, order_of, packed_texts, partitions, sha
 MEAN_CHUNK, MAX_CHUNK = 16, 256
 #: Bytes that consecutive repeated chunks must cover to be removed.
 MIN_RUN = 130
+#: Bytes of a text that the vectorised loops hold at a time; shapes memory, not results.
+BLOCK_BYTES = 1 << 20
 _GEAR = np.random.default_rng(32).integers(0, 2**32, size=256, dtype=np.uint32)
 
 
@@ -32,14 +34,18 @@ def cuts(data: np.ndarray) -> np.ndarray:
     size = len(data)
     if not size:
         return np.zeros(0, dtype=np.int64)
-    gear = _GEAR[data]
-    for step in (1, 2, 4, 8, 16):
-        shifted = gear[:-step] << np.uint32(step)
-        gear = gear.copy()
-        gear[step:] += shifted
+    found = []
+    for begin in range(0, size, BLOCK_BYTES):
+        context = max(begin - 31, 0)
+        gear = _GEAR[data[context : begin + BLOCK_BYTES]]
+        for step in (1, 2, 4, 8, 16):
+            shifted = gear[:-step] << np.uint32(step)
+            gear = gear.copy()
+            gear[step:] += shifted
+        found.append(np.flatnonzero(gear[begin - context :] < np.uint32(2**32 // MEAN_CHUNK)) + begin + 1)
+    found = np.concatenate(found)
     inside = np.append((data & 0xC0) == 0x80, False)  # a character goes on at this place
     starts = np.flatnonzero(~inside)
-    found = np.flatnonzero(gear < np.uint32(2**32 // MEAN_CHUNK)) + 1
     found = starts[np.searchsorted(starts, found)]
     found = np.unique(np.append(found, size))
     lengths = np.diff(found, prepend=0)
@@ -58,7 +64,12 @@ def chunk_digests(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(text, dtype=np.uint8)
     ends = cuts(data)
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
-    return ends, Hashes(data).of(starts, ends)
+    digests = np.zeros(len(ends), dtype=np.uint64)
+    for at in np.split(np.arange(len(ends)), np.searchsorted(ends, np.arange(BLOCK_BYTES, len(data), BLOCK_BYTES))):
+        if len(at):
+            first = starts[at[0]]
+            digests[at] = Hashes(data[first : ends[at[-1]]]).of(starts[at] - first, ends[at] - first)
+    return ends, digests
 
 
 def _digests(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

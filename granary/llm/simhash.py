@@ -7,6 +7,7 @@ of its 32 bits.  Equal keys meet by an equality shuffle, and every candidate is
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -27,31 +28,46 @@ MAX_DIFFERENT = 2
 #: Fingerprints under one key that are compared with each other; the members of a larger key look up
 #: all fingerprints that differ in at most two bits instead, so work per fingerprint stays bounded.
 COMPARED = 2048
-#: Words of one long text that are hashed at a time; shapes memory, not results.
-WORDS_AT_A_TIME = 200_000
+#: Bytes of one long text that are hashed at a time; shapes memory, not results.
+PIECE_BYTES = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 #: Bit b (from the lowest) of each byte value, as counts of a byte value turn into counts of bits.
 _BITS = (np.arange(256)[:, None] >> np.arange(8)[None, :] & 1).astype(np.int64)
 
 
+def _words(data: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, of a long one piece by piece."""
+    start = 0
+    while start < len(data):
+        cut = _SPACE.search(data, min(start + PIECE_BYTES, len(data)))
+        end = cut.start() if cut else len(data)
+        yield data[start:end].split()
+        start = end
+
+
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """The 64-bit SimHash of the ``size``-word shingles of a text; 0 without words.
 
     ASCII letters count in lower case; words are what stands between ASCII white space.  A text of fewer
     words is one shingle.  A bit is set if it is set in over half of all shingle hashes, repeats included.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    total, ones = max(len(words) - size + 1, 1), np.zeros((8, 256), dtype=np.int64)
+    total, ones, words = 0, np.zeros((8, 256), dtype=np.int64), []
     digest = xxhash.xxh64_intdigest
-    for start in range(0, total, WORDS_AT_A_TIME):
-        stop = min(start + WORDS_AT_A_TIME, total)
-        shifted = [words[start + k : stop + k] for k in range(min(size, len(words)))]
-        joined = map(b" ".join, zip(*shifted, strict=True))
-        hashes = np.fromiter((digest(s, SEED) for s in joined), dtype="<u8", count=stop - start)
+
+    def add(shingles: Iterator[bytes]) -> int:
+        hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
         for k, column in enumerate(hashes.view(np.uint8).reshape(-1, 8).T):
             ones[k] += np.bincount(column, minlength=256)
+        return len(hashes)
+
+    for some in _words((text or "").encode().lower()):
+        words += some
+        if len(words) >= size:
+            total += add(map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False)))
+            words = words[len(words) - size + 1 :]
+    if not total and words:
+        total = add(iter([b" ".join(words)]))
     set_ = (ones @ _BITS).ravel() * 2 > total
     return int(np.packbits(set_, bitorder="little").view("<u8")[0])
 

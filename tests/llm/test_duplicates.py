@@ -231,6 +231,19 @@ def test_chunks_resist_insertions():
     assert max(np.diff(chunks.cuts(np.frombuffer(b"a" * 3000, dtype=np.uint8)), prepend=0)) <= chunks.MAX_CHUNK
 
 
+def test_long_texts_are_handled_in_pieces(monkeypatch):
+    rnd = random.Random(17)
+    text = "".join(rnd.choice("abcde fghij éß\n") for _ in range(4000)) + "x" * 700
+    whole = simhash.fingerprint(text), *[x.tolist() for x in chunks.chunk_digests(text.encode())]
+    assert whole[0] == brute_fingerprint(text)
+    for size in (64, 100, 1000):
+        monkeypatch.setattr(simhash, "PIECE_BYTES", size)
+        monkeypatch.setattr(chunks, "BLOCK_BYTES", size)
+        assert (simhash.fingerprint(text), *[x.tolist() for x in chunks.chunk_digests(text.encode())]) == whole
+    for odd in ("", " ", "a", "a b", " a b c ", "a\x0bb\x1cc d"):
+        assert simhash.fingerprint(odd) == brute_fingerprint(odd)
+
+
 def test_first_holders_over_blocks_and_batches():
     rnd = random.Random(16)
     rows = [(rnd.randrange(40), rnd.randrange(25)) for _ in range(300)]  # key, uid
