@@ -78,6 +78,21 @@ def _mixed_files(spark, sf_dir):
     return read_delimited(spark, path, sep=",", strict=True).select(F.col("key").cast("bigint").alias("key"), "name")
 
 
+@query("blank_lines", """
+    SELECT coalesce(CAST(CASE c_custkey % 3 WHEN 0 THEN '' ELSE c_name END AS VARCHAR), '') AS name, count(*) AS rows
+    FROM customer GROUP BY 1
+""")
+def _blank_lines(spark, sf_dir):
+    """Every third line of a lenient export is blank and counts as a record without cells."""
+    line = F.when(F.expr("c_custkey % 3 = 0"), "").otherwise(F.concat_ws("\t", F.col("c_custkey").cast("string"), "c_name"))
+    path = scratch_path(spark, "blank")
+    # One small file per nation: no writer of lines keeps blank ones below a header.
+    files = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.concat(F.lit("key\tname\n"), F.array_join(F.collect_list(line), "\n")).alias("value"))
+    files.write.partitionBy("c_nationkey").text(path)
+    return read_delimited(spark, f"{path}/*", columns=["name"]).groupBy("name").agg(F.count("*").alias("rows"))
+
+
 @query("null_bytes", """
     SELECT event_id, CASE event_id % 3 WHEN 0 THEN 3 ELSE 2 END AS chars FROM events
 """)

@@ -137,7 +137,7 @@ def read_delimited(
     record of another width.  Blank lines are an error where lines are records.  (Spark refuses a
     query that uses ``_corrupt`` alone, so read another column with it or stage the scan.)
 
-    Lenient: ``sep`` is overridden by a detected comma when it is the default tab, short records
+    Lenient: blank lines are records of empty cells (in files without quoted line breaks), ``sep`` is overridden by a detected comma when it is the default tab, short records
     are padded with ``''``, extra cells are ignored and of equal headers the last one counts.
     ``columns`` selects headers; absent ones read as ``''``.
 
@@ -154,7 +154,8 @@ def read_delimited(
     whole: list[str] = []  # files with records that go on over a line break
     if multiline == "auto" and cannot_split(spark, path):
         multiline = True
-    if multiline == "auto" or encoding_errors == "strict":
+    blank = 0
+    if multiline == "auto" or encoding_errors == "strict" or not strict:
         profile = profile_lines(spark, path, used, header_line)
         totals = profile.agg(
             F.sum("open_lines").alias("open"),
@@ -166,7 +167,8 @@ def read_delimited(
             raise InputError(f"{totals['invalid']} lines of {path} are not valid UTF-8")
         if totals["other"]:
             raise InputError(f"{totals['other']} files at {path} have another header")
-        if strict and totals["blank"]:
+        blank = totals["blank"] or 0
+        if strict and blank:
             raise InputError(f"{totals['blank']} records of {path} are blank lines")
         if multiline == "auto":
             multiline = False
@@ -211,10 +213,26 @@ def read_delimited(
             F.monotonically_increasing_id().alias(SOURCE_ROW),
         ]
     if not whole:
-        return scan(path, bool(multiline)).select(*picked)
-    rest = [name for name in file_names(spark, path) if _bare(name) not in set(map(_bare, whole))]
-    read = scan(whole, True).select(*picked)
-    return read.unionByName(scan(rest, False).select(*picked)) if rest else read
+        read, rest = scan(path, bool(multiline)).select(*picked), path
+    else:
+        apart = set(map(_bare, whole))
+        rest = [name for name in file_names(spark, path) if _bare(name) not in apart]
+        read = scan(whole, True).select(*picked)
+        read = read.unionByName(scan(rest, False).select(*picked)) if rest else read
+    return read.unionByName(_blank_records(spark, rest, read)) if blank else read
+
+
+def _blank_records(spark: SparkSession, path: str | Sequence[str], like: DataFrame) -> DataFrame:
+    """The blank lines of files whose lines are records, which the scan leaves out: records of empty cells.
+
+    Their place in the file is known by line only, so they come before the other records of their block.
+    """
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).where("value = ''")
+    place = {
+        SOURCE_FILE: F.col("_metadata.file_path"), SOURCE_BLOCK: F.col("_metadata.file_block_start"),
+        SOURCE_ROW: F.lit(-1).cast("bigint"),
+    }
+    return lines.select(*[place.get(c, F.lit("")).alias(c) for c in like.columns])
 
 
 def _bare(name: str) -> str:

@@ -209,3 +209,11 @@ def test_bad_inputs(spark, tmp_path, database):
         preflight(spark, str(tmp_path / "bytes.tsv"), tmp_path)
     _, row = preflight(spark, str(tmp_path / "bytes.tsv"), tmp_path, encoding_errors="replace")
     assert row["code_total"] == 1
+
+
+def test_blank_lines_are_records_without_code(spark, tmp_path):
+    rows = ["\t".join(r) for r in TWO_PRODUCTS]
+    path = tmp_path / "blank.tsv"
+    path.write_text("\n".join([rows[0], "", rows[1], "", rows[2]]) + "\n")
+    _, row = preflight(spark, str(path), tmp_path)
+    assert (row["skipped_no_code"], row["code_total"]) == (2, 2)
