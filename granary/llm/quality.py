@@ -31,13 +31,16 @@ PLACE_BITS = 24
 
 #: Statistics: the length, which the others are judged against, then those that are judged.
 STATISTICS = ("length", "distinct", "word_length", "symbols", "dup_lines", "repeats", "line_length")
-#: Standard deviation below which no statistic is taken to vary, so that exact zeros don't make any
-#: other value an outlier.
-FLOORS = (0.3, 0.1, 0.1, 0.09, 0.2, 0.15, 0.3)
+#: What a statistic counts in the shortest text that is judged: words, characters at five to a word, lines of
+#: five words, places of repeated windows of three.
+UNITS = (MIN_WORDS, MIN_WORDS, 5 * MIN_WORDS, 5 * MIN_WORDS, MIN_WORDS / 5, MIN_WORDS / 3, MIN_WORDS / 5)
+#: Standard deviation below which no statistic is taken to vary: that of the square root of a share of n units
+#: from counting alone, 1 / (2 sqrt(n)), so that one occurrence is no outlier where a group has none.
+FLOORS = tuple(0.5 / math.sqrt(n) for n in UNITS)
 #: Share of a group's rows that the estimate rests on.
 CORE = 0.75
-#: Chance that a text of a normal group is rejected.
-REJECTED = 1e-6
+#: Chance that a text of a normal group is rejected; the README has the share of labelled good texts.
+REJECTED = 1e-3
 #: Rows that a group needs for an estimate of its own; smaller ones are pooled by language, then all.
 MIN_GROUP = 20 * len(STATISTICS)
 #: Rank accuracy of the quantiles, as a share 1/ACCURACY of a group.

@@ -164,3 +164,25 @@ def test_empty_and_tied_tables(documents):
     counted = quality.text_counts(documents([(i, text, None, None) for i in range(200)])).cache()
     assert quality.judge(counted, quality.fit(counted)).where("kept").count() == 200
     counted.unpersist()
+
+
+def test_each_share_can_reject_alone():
+    """Of a group whose core has none, a text is rejected for duplicate lines, repeats or symbols alone, and not for one."""
+    limit = quality.chi_square_quantile(1 - quality.REJECTED, quality.SIZE - 1)
+    grown = quality.consistency(quality.CORE, quality.SIZE)
+    alone = lambda name, share: share / (quality.FLOORS[quality.STATISTICS.index(name)] ** 2 * grown)
+    most = {"dup_lines": 0.9, "repeats": quality.MAX_REPEAT_PERCENT / 100, "symbols": 0.2}
+    one = {"dup_lines": 1 / 2, "repeats": 6 / quality.MIN_WORDS, "symbols": 1 / (5 * quality.MIN_WORDS)}
+    assert all(alone(n, share) > limit for n, share in most.items())
+    assert all(alone(n, share) < limit for n, share in one.items())
+
+
+def test_tables_in_prose_are_rejected(documents):
+    rnd = random.Random(22)
+    word = lambda: "".join(rnd.choice("abcdefghijkl") for _ in range(rnd.randint(2, 9)))
+    text = lambda sign: "\n".join(sign.join(word() for _ in range(10)) for _ in range(rnd.randint(8, 20)))
+    rows = [(i, text(" | " if i % 20 == 0 else " "), "en", "a") for i in range(300)]
+    counted = quality.text_counts(documents(rows)).cache()
+    kept = {r.doc_id for r in quality.judge(counted, quality.fit(counted)).where("kept").collect()}
+    assert kept == {r[0] for r in rows if r[0] % 20}
+    counted.unpersist()
