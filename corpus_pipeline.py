@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, decontaminate, near, pii, quality
+from granary.llm import bpe, decontaminate, pii, quality, simhash
 from granary.registry.base import table
 from granary.session import stage, use_own_scratch
 
@@ -38,8 +38,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share four fifths of their 5-word shingles: the smallest id."""
-    return near.keep_first(docs)
+    """One document, that with the smallest id, of each group of fingerprints linked at two bits or fewer."""
+    return simhash.keep_first(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
