@@ -35,3 +35,41 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
+
+DIVERGENCE = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), tokens AS (
+    SELECT r, lang, source, unnest(w) AS term FROM d
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM tokens GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), sizes AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), held AS (
+    SELECT t.lang, t.source, t.term, count(*) AS n FROM tokens t JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+    SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN held USING (lang, source) LEFT JOIN sizes USING (lang) GROUP BY lang, source
+), p AS (
+    SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n, k.n AS n_lang,
+           1 + (CAST(1000000000 AS HUGEINT) * (coalesce(h.n, 0) + 1)) // (g.total + g.v) AS p
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term
+), summed AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), term AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM (
+        SELECT p.*, 1 + (CAST(1000000000 AS HUGEINT) * (n_lang + 1)) // (s.total + s.v) AS q FROM p JOIN sizes s USING (lang)
+    ) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+) WHERE part = 'pair' OR rank <= 200
+"""
