@@ -73,3 +73,37 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
     FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
 ) WHERE part = 'pair' OR rank <= 200
 """
+
+_ROUND = """
+{t}a AS (
+    SELECT v.r, v.k, v.x, c.e, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d,
+           row_number() OVER (PARTITION BY v.r, v.k ORDER BY d, c.e) AS nth
+    FROM cut v JOIN {s} c ON c.k = v.k QUALIFY nth = 1
+)"""
+_MOVED = """
+{t} AS (
+    SELECT c.k, c.e, coalesce(m.x, c.x) AS x FROM {s} c LEFT JOIN (
+        SELECT k, e, list(CAST(floor(t::HUGEINT::DECIMAL(38,0) / n) AS BIGINT) ORDER BY i) AS x FROM (
+            SELECT k, e, i, sum(x[i]) AS t, count(*) AS n FROM (SELECT k, e, x, unnest(range(1, len(x) + 1)) AS i FROM {t}a) GROUP BY k, e, i
+        ) GROUP BY k, e
+    ) m ON m.k = c.k AND m.e = c.e
+)"""
+#: Nearest entries and means of two rounds, and a last assignment.
+CODES = f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+    SELECT r, k, v[k * w + 1:k * w + w] AS x FROM (SELECT r, v, len(v) // 16 AS w, unnest(range(16)) AS k FROM kept)
+), c0 AS (
+    SELECT k, r - 1 AS e, x FROM cut WHERE r <= 64
+), {_ROUND.format(t="c1", s="c0")}, {_MOVED.format(t="c1", s="c0")}, {_ROUND.format(t="c2", s="c1")}, {_MOVED.format(t="c2", s="c1")},
+{_ROUND.format(t="last_", s="c2")}, coded AS (
+    SELECT r, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY k) AS code, CAST(sum(d) AS BIGINT) AS error FROM last_a GROUP BY r
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY k, e)) AS codebooks_sha256 FROM c2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""

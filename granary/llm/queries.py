@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, checks, chunks, decontaminate, divergence, language, licenses, pii, quality, simhash, windows
+from granary.llm import bpe, checks, chunks, codes, decontaminate, divergence, language, licenses, pii, quality, simhash, windows
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 from granary.session import stage
@@ -90,3 +90,8 @@ def op7_suffix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_source_divergence", checks.DIVERGENCE)
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), top=200)
+
+
+@query("op13_vector_codes", checks.CODES)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.summary(*codes.compress(table(spark, sf_dir, "embeddings")))
