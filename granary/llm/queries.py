@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, checks, chunks, codes, decontaminate, divergence, language, licenses, pii, quality, simhash, windows
+from granary.llm import bpe, checks, chunks, codes, decontaminate, divergence, language, licenses, pii, quality, scoring, simhash, windows
 from granary.llm.token_counts import token_counts
 from granary.registry.base import Query, table
 from granary.session import stage
@@ -95,3 +95,13 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_vector_codes", checks.CODES)
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.summary(*codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+@query("op12_lm_scores")
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept_out = scoring.held_out("doc_id")
+    model = scoring.learn(documents, ~kept_out)
+    return scoring.score(documents, model).select(
+        "doc_id", kept_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
+    )
