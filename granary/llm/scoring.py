@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +72,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def hashes(text: str | None) -> np.ndarray:
     """The hashes of the start, the words and the end of a text."""
     digest = xxhash.xxh64_intdigest
-    parts = [np.fromiter((digest(w, SEED) for w in some), np.uint64, len(some)) for some in words(text)]
+    parts = [np.fromiter(map(digest, some, repeat(SEED)), np.uint64, len(some)) for some in words(text)]
     return np.concatenate([[START], *parts, [END]]).astype(np.uint64)
 
 
@@ -171,9 +172,15 @@ def _unigram_counts(counted: DataFrame) -> DataFrame:
 # --- the filter -------------------------------------------------------------------------------
 
 
-def _places(h: np.ndarray, level: np.ndarray | int, probe: int) -> np.ndarray:
+def _places(h: np.ndarray, level: np.ndarray | int) -> Iterator[np.ndarray]:
+    """The bit of each n-gram and level in its sub-filter, probe by probe; what is sent back narrows the n-grams."""
     x = _mixed(h + _GOLD * np.asarray(level, dtype=np.uint64))
-    return (x + np.uint64(probe) * (x >> np.uint64(32) | np.uint64(1))) & np.uint64(SUB_BITS - 1)
+    step = x >> np.uint64(32) | np.uint64(1)
+    for _ in range(PROBES):
+        hit = yield (x & np.uint64(SUB_BITS - 1)).astype(np.int64)
+        if hit is not None:
+            x, step = x[hit], step[hit]
+        x = x + step
 
 
 def _home(h: np.ndarray, subs: int) -> np.ndarray:
@@ -190,16 +197,20 @@ class Filter:
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The level of each n-gram; 0 for those of other sub-filters or below the least count."""
         level = np.zeros(len(h), dtype=np.int64)
-        row = _home(h, self.subs) - self.first
-        at = np.flatnonzero((row >= 0) & (row < len(self.bits)))
-        step = 0
+        home = _home(h, self.subs) - self.first
+        at = np.flatnonzero((home >= 0) & (home < len(self.bits)))
+        start, flat, step = home[at] * self.bits.shape[1], self.bits.ravel(), 0
         while len(at):
             step += 1
-            for probe in range(PROBES):
-                place = _places(h[at], step, probe)
-                byte = self.bits[row[at], (place >> np.uint64(3)).astype(np.int64)]
-                at = at[byte >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1]
-            level[at] = step
+            places = _places(h[at], step)
+            hit = None
+            try:
+                while True:
+                    place = places.send(hit)
+                    hit = np.flatnonzero(flat[start + (place >> 3)] >> (place & 7).astype(np.uint8) & 1)
+                    at, start = at[hit], start[hit]
+            except StopIteration:
+                level[at] = step
         return level
 
 
@@ -223,9 +234,8 @@ def _sub_filters(counted: DataFrame, subs: int) -> DataFrame:
                 top = np.searchsorted(_LEAST, n[start:stop], side="right")
                 which = np.repeat(h[start:stop].view(np.uint64), top)
                 level = np.arange(len(which)) - np.repeat(np.cumsum(top) - top, top) + 1
-                for probe in range(PROBES):
-                    place = _places(which, level, probe)
-                    np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+                for place in _places(which, level):
+                    np.bitwise_or.at(bits, place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
         if sub is not None:
             yield done()
 
@@ -284,18 +294,58 @@ def learn(docs: DataFrame, learns: Column, text: str = "text", order: int = ORDE
     return Model(counted, _shares(every), docs.sparkSession.sparkContext.broadcast(frequent), tokens or 0, kinds or 0, ends or 0, order)
 
 
-def _log_probabilities(texts: list[np.ndarray], model: Model, counts: list[np.ndarray]) -> list[float]:
-    """The sum over each text of log10 probabilities, from the ``counts`` of each order at each place."""
-    sizes = np.array([len(t) for t in texts])
-    place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    p = (counts[0] + 1) / (model.tokens + model.kinds + 1)
-    for k in range(1, model.order):
-        history = np.concatenate([[0.0], counts[k - 1][:-1]])
-        seen = np.minimum(counts[k], history)
-        p = np.where(place >= k, (seen + PRIOR * p) / (history + PRIOR), p)
-    logs = np.log10(p)
-    logs[place == 0] = 0.0  # the start is no token
-    return np.add.reduceat(logs, np.cumsum(sizes) - sizes).tolist() if len(sizes) else []
+class Block:
+    """Some texts as numbers of their distinct words; 0 and 1 are the start and the end."""
+
+    def __init__(self, texts: list[str | None]):
+        numbers: dict[bytes, int] = {}
+        parts, sizes = [], []
+        for text in texts:
+            parts.append(np.zeros(1, np.int64))
+            size = 2
+            for some in words(text):
+                for word in set(some):
+                    numbers.setdefault(word, len(numbers) + 2)
+                parts.append(np.fromiter(map(numbers.__getitem__, some), np.int64, len(some)))
+                size += len(some)
+            parts.append(np.ones(1, np.int64))
+            sizes.append(size)
+        self.words = list(numbers)
+        self.flat, self.sizes = np.concatenate(parts), np.array(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words, repeat(SEED)), np.uint64, len(self.words))
+        self.hashes = np.concatenate([[START, END], self.hashes]).astype(np.uint64)
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The sum of each text's values."""
+        return np.add.reduceat(values, self.starts)
+
+    def rest(self, counts: np.ndarray) -> pa.Array:
+        """The distinct words of each text that have no count here, and how often each occurs."""
+        at = np.flatnonzero(np.isnan(counts[self.flat]))
+        text = np.searchsorted(self.starts, at, side="right") - 1
+        keys, times = np.unique(text * len(counts) + self.flat[at], return_counts=True)
+        text, number = np.divmod(keys, len(counts))
+        used, back = np.unique(number, return_inverse=True)
+        shown = pa.array([self.words[i - 2].decode() for i in used.tolist()], type=pa.string())
+        rows = pa.StructArray.from_arrays([shown.take(pa.array(back)), pa.array(times.astype(np.int64))], names=["word", "n"])
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(self.sizes) + 1)).astype(np.int32)), rows)
+
+
+def _log_probabilities(block: Block, model: Model, levels: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over each text of log10 probabilities; ``levels`` asks the filter, for distinct words only once."""
+    place = np.arange(len(block.flat)) - np.repeat(block.starts, block.sizes)
+    counts = _TYPICAL[levels(block.hashes)][block.flat]
+    p = (counts + 1) / (model.tokens + model.kinds + 1)
+    for k, gram in enumerate(grams(block.hashes[block.flat], model.order)):
+        if k:
+            history = np.concatenate([[0.0], counts[:-1]])
+            inside = np.flatnonzero(place >= k)
+            counts = np.zeros(len(gram))
+            counts[inside] = _TYPICAL[levels(gram[inside])]
+            seen = np.minimum(counts, history)
+            p = np.where(place >= k, (seen + PRIOR * p) / (history + PRIOR), p)
+    return block.sums(np.where(place > 0, np.log10(p), 0.0))  # the start is no token
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,38 +365,26 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     shares, frequent = model.shares, model.frequent
     held: list[Filter] = []
 
-    def counts_of(flat: list[np.ndarray]) -> list[np.ndarray]:
-        levels = [np.zeros(len(g), dtype=np.int64) for g in flat]
+    def levels(h: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(h), dtype=np.int64)
         for share in shares:
             if len(shares) == 1:
                 held[:] = held or [share.value]
             else:
                 held[:] = [share.value]
                 vars(share).pop("_value", None)  # one share at a time in memory; the next use reads it again
-            for k, g in enumerate(flat):
-                levels[k] = np.maximum(levels[k], held[0].levels(g))
-        return [_TYPICAL[x] for x in levels]
+            found = np.maximum(found, held[0].levels(h))
+        return found
 
     def run(columns: list[list]) -> dict:
-        made = {"n_tokens": [], "n_known": [], "logs": [], "rest": []}
-        known, tokens = frequent.value, []
-        for body in columns[0]:
-            found = Counter()
-            for some in words(body):
-                found.update(some)
-            listed = [(known.get(w), n) for w, n in found.items()]
-            c, n = (np.array([x[i] for x in listed if x[0] is not None], dtype=np.float64) for i in (0, 1))
-            made["n_tokens"].append(sum(found.values()) + 1)
-            made["n_known"].append(int(n[c > 0].sum()) + (slim.ends > 0))
-            made["logs"].append(float((n * np.log10(c + 1)).sum() + np.log10(slim.ends + 1)))
-            made["rest"].append([{"word": w.decode(), "n": k} for w, k in found.items() if w not in known])
-            tokens.append(hashes(body))
-        if tokens:
-            flat = grams(np.concatenate(tokens), slim.order)
-            made["score"] = _log_probabilities(tokens, slim, counts_of(flat))
-        else:
-            made["score"] = []
-        return made
+        block, known = Block(columns[0]), frequent.value
+        counts = np.array([0.0, slim.ends, *(known.get(w, np.nan) for w in block.words)])
+        logs = np.log10(np.nan_to_num(counts) + 1)[block.flat]
+        return {
+            "n_tokens": block.sizes - 1,
+            "n_known": block.sums((np.nan_to_num(counts) > 0)[block.flat].astype(np.int64)),
+            "logs": block.sums(logs), "rest": block.rest(counts), "score": _log_probabilities(block, slim, levels),
+        }
 
     scored = per_document(
         docs.select(F.struct(docs[id].alias("id"), F.monotonically_increasing_id().alias("uid")).alias("row"), docs[text].alias("text")),
