@@ -199,7 +199,8 @@ def audit(
     block = F.pmod(F.xxhash64("term"), F.ceil(F.col("kinds") / block_terms)).cast("int")
     placed = kept.join(sizes, "lang").withColumn("block", block)
     number = F.row_number().over(Window.partitionBy("lang", "block").orderBy("term"))
-    placed = stage(placed.withColumn("number", number), "divergence-numbered")
+    # Dealt out anew: the exchange by language alone would do for the window, and a language can be large.
+    placed = stage(placed.repartition("lang", "block").withColumn("number", number), "divergence-numbered")
     held = stage(
         terms.select("lang", "source", "term", "n").join(placed.select("lang", "term", "block", "number", "n_lang"), ["lang", "term"]),
         "divergence-held",
