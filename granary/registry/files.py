@@ -10,6 +10,7 @@ from granary.functions import digits_key
 from granary.operators.conform import record_width
 from granary.operators.dedupe import duplicate_keys, profile_duplicates
 from granary.plans.preflight import manifest_row
+from granary.plans.products import rows_read
 from granary.registry.base import (
     as_text,
     derive,
@@ -21,7 +22,7 @@ from granary.registry.duplicates import _EXPORT_CODES, _LINE_CODES, _LINE_COUNTS
 from granary.session import scratch_path, stage
 from granary.sinks.files import write_code_list, write_manifest
 from granary.sources.bundle import bundle_inventory, read_expected_counts
-from granary.sources.delimited import CORRUPT, profile_lines, read_delimited, record_numbers
+from granary.sources.delimited import CORRUPT, SOURCE_ORDER, profile_lines, read_delimited, record_numbers
 from granary.sources.files import list_files
 from granary.sources.fingerprint import fingerprint
 from granary.sources.manifest import read_code_list
@@ -78,6 +79,19 @@ def _mixed_files(spark, sf_dir):
     return read_delimited(spark, path, sep=",", strict=True).select(F.col("key").cast("bigint").alias("key"), "name")
 
 
+def _line_files(df, key, line, header, compression="none", rows=10_000):
+    """Text files of lines in the order of a dense whole-number key, each with a header line; ``rows`` keys a file.
+
+    The lines of a file are one value, as no writer of lines keeps blank ones below a header.
+    """
+    path = scratch_path(df.sparkSession, "lines")
+    piece = F.format_string("%012d", F.expr(f"{key} DIV {rows}"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), line.alias("line"))))
+    files = df.groupBy(piece.alias("piece")).agg(F.concat(F.lit(f"{header}\n"), F.array_join(ordered["line"], "\n")).alias("value"))
+    files.write.partitionBy("piece").option("compression", compression).text(path)
+    return f"{path}/*"
+
+
 @query("blank_lines", """
     SELECT coalesce(CAST(CASE c_custkey % 3 WHEN 0 THEN '' ELSE c_name END AS VARCHAR), '') AS name, count(*) AS rows
     FROM customer GROUP BY 1
@@ -85,12 +99,74 @@ def _mixed_files(spark, sf_dir):
 def _blank_lines(spark, sf_dir):
     """Every third line of a lenient export is blank and counts as a record without cells."""
     line = F.when(F.expr("c_custkey % 3 = 0"), "").otherwise(F.concat_ws("\t", F.col("c_custkey").cast("string"), "c_name"))
-    path = scratch_path(spark, "blank")
-    # One small file per nation: no writer of lines keeps blank ones below a header.
-    files = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
-        F.concat(F.lit("key\tname\n"), F.array_join(F.collect_list(line), "\n")).alias("value"))
-    files.write.partitionBy("c_nationkey").text(path)
-    return read_delimited(spark, f"{path}/*", columns=["name"]).groupBy("name").agg(F.count("*").alias("rows"))
+    path = _line_files(table(spark, sf_dir, "customer"), "c_custkey", line, "key\tname")
+    return read_delimited(spark, path, columns=["name"]).groupBy("name").agg(F.count("*").alias("rows"))
+
+
+_ODD_LINE = F.expr("""
+    CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN concat(event_id, ',"', event_type, '\n\n', props_, '"')
+    WHEN 2 THEN concat(event_id, ',"', event_type, '" and more') ELSE concat(event_id, ',', event_type) END
+""")
+_ODD_SQL = """
+    SELECT CASE event_id % 7 WHEN 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS id,
+           CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN event_type || chr(10) || chr(10) || replace(props, '"', '')
+           WHEN 2 THEN event_type || ' and more' ELSE event_type END AS kind,
+           row_number() OVER (ORDER BY event_id) + 1 AS record_number FROM events
+"""
+
+
+def _odd_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").withColumn("props_", F.translate("props", '"', ""))
+
+
+def _numbered(read):
+    scan = stage(read, "numbered")
+    return record_numbers(scan).select(*[c for c in scan.columns if not c.startswith("_src_")], F.col("record_number").cast("bigint").alias("record_number"))
+
+
+@query("scan_parity", _ODD_SQL)
+def _scan_parity(spark, sf_dir):
+    """Quoted breaks, blank records and text behind a closing quote, with dense record numbers."""
+    path = _line_files(_odd_events(spark, sf_dir), "event_id", _ODD_LINE, "id,kind", rows=200_000)
+    return _numbered(read_delimited(spark, path, sep=",", with_order=True))
+
+
+@query("blank_gzip", _ODD_SQL)
+def _blank_gzip(spark, sf_dir):
+    """The same from gzip files, each unpacked once."""
+    path = _line_files(_odd_events(spark, sf_dir), "event_id", _ODD_LINE, "id,kind", compression="gzip")
+    return _numbered(read_delimited(spark, path, sep=",", with_order=True))
+
+
+_WITH_BLANKS = F.expr("CASE WHEN event_id % 5 = 3 THEN '' ELSE concat('0', event_id, '\t', event_type) END")
+
+
+@query("blank_numbers", """
+    SELECT CASE event_id % 5 WHEN 3 THEN '' ELSE '0' || CAST(event_id AS VARCHAR) END AS code,
+           CASE event_id % 5 WHEN 3 THEN '' ELSE event_type END AS kind,
+           row_number() OVER (ORDER BY event_id) + 1 AS record_number FROM events
+""")
+def _blank_numbers(spark, sf_dir):
+    """Blank lines of plain files are numbered where they stand."""
+    path = _line_files(table(spark, sf_dir, "events"), "event_id", _WITH_BLANKS, "code\tkind")
+    return _numbered(read_delimited(spark, path, with_order=True))
+
+
+@query("blank_capped", """
+    WITH c AS (SELECT event_id, event_id % 5 = 3 AS blank, count(*) FILTER (event_id % 5 <> 3) OVER (ORDER BY event_id) AS n FROM events)
+    SELECT count(*) AS rows_read, count(*) FILTER (blank) AS skipped_no_code, max(CASE WHEN NOT blank THEN event_id END) AS last
+    FROM c WHERE event_id <= (SELECT min(event_id) FROM c WHERE n = 777 AND NOT blank)
+""")
+def _blank_capped(spark, sf_dir):
+    """Blank lines behind the last row that a cap admits are not read."""
+    path = _line_files(table(spark, sf_dir, "events"), "event_id", _WITH_BLANKS, "code\tkind", rows=500)
+    scan = stage(read_delimited(spark, path, columns=["code"], with_order=True), "capped")
+    rows = scan.withColumn("code_norm", digits_key(F.col("code")))
+    read = rows_read(rows, SOURCE_ORDER, "none", max_rows=777)
+    return read.agg(
+        F.count("*").alias("rows_read"), F.count_if(F.col("code_norm") == "").alias("skipped_no_code"),
+        F.max(F.when(F.col("code_norm") != "", F.col("code_norm").cast("bigint"))).alias("last"),
+    )
 
 
 @query("null_bytes", """

@@ -93,7 +93,6 @@ def read_source(
     spark: SparkSession,
     source: TableSource,
     with_order: bool = True,
-    multiline: bool | str = "auto",
 ) -> DataFrame:
     """Strict all-text scan of one bundle table."""
     return read_delimited(
@@ -103,7 +102,6 @@ def read_source(
         strict=True,
         names=source.schema.names,
         with_order=with_order,
-        multiline=multiline,
     )
 
 

@@ -3,10 +3,10 @@
 Spark never names the columns: the header is read once on the driver (metadata only) and the scan
 gets an explicit all-text schema by position.
 
-Scale.  A file with quoted line breaks, like any gzip file, can only be read by one task.  Before
-the scan one distributed pass over the lines (:func:`profile_lines`) proves for each file whether every
-line is a complete record on its own; such files are read in splits, the others as a whole.  The same
-pass finds invalid UTF-8, blank lines and headers that differ between files.
+Scale.  One distributed pass over the lines proves whether every line is a plain record of its own; then
+Spark's CSV source reads the files in splits.  Where a cell holds a line break, text follows a closing quote, or a
+line is blank, the records are read in the same splits by :mod:`granary.sources.records`, which gives each record its
+place.  A gzip file is unpacked once, by one task.  The same pass finds invalid UTF-8 and headers that differ.
 """
 
 from __future__ import annotations
@@ -14,14 +14,15 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions.text import BOM
+from granary.session import stage
 from granary.sources.files import file_names
+from granary.sources.records import line_patterns, read_lines, read_records, summarize, with_starts
 
 TAB, COMMA = "\t", ","
 MAX_CELL_CHARS = 2_000_000  # fixed value: default size limit of a cell
@@ -70,13 +71,6 @@ def _cells(line: str, sep: str) -> list[str]:
     return next(csv.reader([line], delimiter=sep), [])
 
 
-def _whole_record_pattern(sep: str) -> str:
-    """Matches a line that is one complete record: each cell is bare, or quoted and closed."""
-    s = re.escape(sep)
-    cell = rf'(?:"[^"]*+(?:""[^"]*+)*+"|[^"{s}][^{s}]*+|)'
-    return rf"^{cell}(?:{s}{cell})*+$"
-
-
 def profile_lines(
     spark: SparkSession, path: str | Sequence[str], sep: str, header_line: str
 ) -> DataFrame:
@@ -100,7 +94,7 @@ def profile_lines(
         .agg(
             F.count("*").alias("lines"),
             F.count_if(line == "").alias("blank_lines"),
-            F.count_if(~line.rlike(_whole_record_pattern(sep))).alias("open_lines"),
+            F.count_if(~line.rlike(line_patterns(sep)[0])).alias("open_lines"),
             F.count_if(~F.is_valid_utf8(line)).alias("invalid_lines"),
             # numbers only, so that the aggregate hashes and never sorts the lines
             F.min_by(same, F.when(first_block, F.col("row"))).alias("same_header"),
@@ -127,19 +121,19 @@ def read_delimited(
     columns: Sequence[str] | None = None,
     max_chars: int = MAX_CELL_CHARS,
     encoding_errors: str = "strict",
-    multiline: bool | str = "auto",
     with_order: bool = False,
 ) -> DataFrame:
     """Scan delimited text as text columns, plain or gzip by file suffix.
 
     ``strict``: comma text whose records must have as many cells as the header.  All columns are
     returned under ``names`` (default: the header), with ``_corrupt`` holding the raw text of each
-    record of another width.  Blank lines are an error where lines are records.  (Spark refuses a
-    query that uses ``_corrupt`` alone, so read another column with it or stage the scan.)
+    record of another width.  Blank lines are an error; in gzip files, which are read once, they are records of
+    another width, with empty raw text.  (Spark refuses a query that uses ``_corrupt`` alone, so read
+    another column with it or stage the scan.)
 
-    Lenient: blank lines are records of empty cells (in files without quoted line breaks), ``sep`` is overridden by a detected comma when it is the default tab, short records
-    are padded with ``''``, extra cells are ignored and of equal headers the last one counts.
-    ``columns`` selects headers; absent ones read as ``''``.
+    Lenient: blank lines are records of empty cells, ``sep`` is overridden by a detected comma when it is the
+    default tab, short records are padded with ``''``, extra cells are ignored and of equal headers the last
+    one counts.  ``columns`` selects headers; absent ones read as ``''``.
 
     ``encoding_errors='strict'`` refuses invalid UTF-8, ``'replace'`` reads U+FFFD for it.
     ``with_order`` adds the source position (file, block, row) of each record.  It orders records
@@ -150,53 +144,73 @@ def read_delimited(
     header_line = read_header_line(spark, path)
     used = sep if strict else choose_delimiter(header_line, sep)[0]
     header = _cells(header_line, used)
-
-    whole: list[str] = []  # files with records that go on over a line break
-    if multiline == "auto" and cannot_split(spark, path):
-        multiline = True
-    blank = 0
-    if multiline == "auto" or encoding_errors == "strict" or not strict:
-        profile = profile_lines(spark, path, used, header_line)
-        totals = profile.agg(
-            F.sum("open_lines").alias("open"),
-            F.sum(F.when(F.col("open_lines") == 0, F.col("blank_lines"))).alias("blank"),
-            F.sum("invalid_lines").alias("invalid"),
-            F.count_if(F.col("same_header") == 0).alias("other"),
-        ).first()
-        if encoding_errors == "strict" and totals["invalid"]:
-            raise InputError(f"{totals['invalid']} lines of {path} are not valid UTF-8")
-        if totals["other"]:
-            raise InputError(f"{totals['other']} files at {path} have another header")
-        blank = totals["blank"] or 0
-        if strict and blank:
-            raise InputError(f"{totals['blank']} records of {path} are blank lines")
-        if multiline == "auto":
-            multiline = False
-            if totals["open"]:
-                found = profile.where("open_lines > 0").select("file_path").collect()  # names of files
-                whole = [unquote(r["file_path"]) for r in found]
-
-    positional = _positional(len(header))
+    width = len(header) if strict else None
+    lines = read_lines(spark, path)
+
+    if cannot_split(spark, path):
+        if encoding_errors == "strict":
+            message = F.concat(F.col("file"), F.lit(": a line is not valid UTF-8"))
+            checked = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.raise_error(message).cast("string"))
+            lines = lines.withColumn("value", checked)
+        records = read_records(lines, None, used, width=width, max_chars=max_chars, header_line=header_line)
+        return _picked(_positioned(records, len(header), strict), header, strict, names, columns, with_order)
+
+    summary = stage(with_starts(summarize(lines, used, header_line)), "ranges")
+    totals = summary.agg(
+        F.sum(F.when(F.col("start") == 0, F.col("blank0")).otherwise(F.col("blank1"))).alias("blank_records"),
+        F.sum("other_header").alias("other"), *[F.sum(c).alias(c) for c in ("open", "odd", "blank", "invalid")],
+    ).first()
+    if encoding_errors == "strict" and totals["invalid"]:
+        raise InputError(f"{totals['invalid']} lines of {path} are not valid UTF-8")
+    if totals["other"]:
+        raise InputError(f"{totals['other']} files at {path} have another header")
+    if strict and totals["blank_records"]:
+        raise InputError(f"{totals['blank_records']} records of {path} are blank lines")
+    if totals["open"] or totals["odd"] or totals["blank"]:
+        records = read_records(lines, summary, used, width=width, max_chars=max_chars)
+        return _picked(_positioned(records, len(header), strict), header, strict, names, columns, with_order)
+    plain = _plain_scan(spark, path, used, len(header), strict, max_chars)
+    return _picked(plain, header, strict, names, columns, with_order)
+
+
+def _positioned(records: DataFrame, width: int, strict: bool) -> DataFrame:
+    """Records as columns by position; the raw text of those of another width."""
+    cells = [F.get("cells", F.lit(i)).alias(p) for i, p in enumerate(_positional(width))]
+    place = [F.col(c).alias(n) for c, n in zip(("file", "block", "row"), SOURCE_ORDER, strict=True)]
+    return records.select(*cells, *([F.col("raw").alias(CORRUPT)] if strict else []), *place)
+
+
+def _plain_scan(spark: SparkSession, path: str | Sequence[str], sep: str, width: int, strict: bool, max_chars: int) -> DataFrame:
+    """Files of which every line is a plain record, by position."""
+    positional = _positional(width)
     fields = [T.StructField(p, T.StringType()) for p in positional]
     if strict:
         fields.append(T.StructField(CORRUPT, T.StringType()))
-    reader = (
+    read = (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
-        .option("sep", used)
+        .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
         .option("charToEscapeQuoteEscaping", '"')  # else a NUL in a quoted cell would vanish
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxCharsPerColumn", max_chars)
-        .option("maxColumns", 4 * len(header) + SPARE_COLUMNS)
+        .option("maxColumns", 4 * width + SPARE_COLUMNS)
         .option("columnPruning", False)  # a pruned parse would not see a wrong width or a cell too long
+        .csv(path if isinstance(path, str) else list(path))
     )
+    whole = F.col(CORRUPT).isNull() if strict else F.lit(True)
+    cells = [F.when(whole, F.coalesce(p, F.lit(""))).otherwise(F.col(p)).alias(p) for p in positional]
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    place = [c.alias(n) for c, n in zip(place, SOURCE_ORDER, strict=True)]
+    return read.select(*cells, *([CORRUPT] if strict else []), *place)
 
-    def scan(files: str | Sequence[str], multi: bool) -> DataFrame:
-        return reader.option("multiLine", multi).csv(files if isinstance(files, str) else list(files))
 
+def _picked(
+    rows: DataFrame, header: list[str], strict: bool, names: Sequence[str] | None, columns: Sequence[str] | None, with_order: bool
+) -> DataFrame:
+    positional = _positional(len(header))
     if strict:
         picked = [F.col(p).alias(n) for p, n in zip(positional, names or header, strict=True)]
         picked.append(F.col(CORRUPT))
@@ -206,38 +220,7 @@ def read_delimited(
             (F.coalesce(F.col(last[n]), F.lit("")) if n in last else F.lit("")).alias(n)
             for n in (columns if columns is not None else last)
         ]
-    if with_order:
-        picked += [
-            F.col("_metadata.file_path").alias(SOURCE_FILE),
-            F.col("_metadata.file_block_start").alias(SOURCE_BLOCK),
-            F.monotonically_increasing_id().alias(SOURCE_ROW),
-        ]
-    if not whole:
-        read, rest = scan(path, bool(multiline)).select(*picked), path
-    else:
-        apart = set(map(_bare, whole))
-        rest = [name for name in file_names(spark, path) if _bare(name) not in apart]
-        read = scan(whole, True).select(*picked)
-        read = read.unionByName(scan(rest, False).select(*picked)) if rest else read
-    return read.unionByName(_blank_records(spark, rest, read)) if blank else read
-
-
-def _blank_records(spark: SparkSession, path: str | Sequence[str], like: DataFrame) -> DataFrame:
-    """The blank lines of files whose lines are records, which the scan leaves out: records of empty cells.
-
-    Their place in the file is known by line only, so they come before the other records of their block.
-    """
-    lines = spark.read.text(path if isinstance(path, str) else list(path)).where("value = ''")
-    place = {
-        SOURCE_FILE: F.col("_metadata.file_path"), SOURCE_BLOCK: F.col("_metadata.file_block_start"),
-        SOURCE_ROW: F.lit(-1).cast("bigint"),
-    }
-    return lines.select(*[place.get(c, F.lit("")).alias(c) for c in like.columns])
-
-
-def _bare(name: str) -> str:
-    """A file name without the slashes by which listings differ (``file:/x``, ``file:///x``)."""
-    return re.sub(r"^(\w+:)/*", r"\1", name)
+    return rows.select(*picked, *(SOURCE_ORDER if with_order else ()))
 
 
 def record_numbers(df: DataFrame, name: str = "record_number", first: int = 2) -> DataFrame:

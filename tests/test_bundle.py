@@ -234,7 +234,7 @@ def test_blank_lines_and_field_size(spark, tmp_path):
     (tmp_path / "b.csv").write_text("a,b\n1,2\n\n3,4\n")
     with pytest.raises(InputError, match="blank"):
         read_delimited(spark, str(tmp_path / "b.csv"), sep=",", strict=True)
-    assert read_delimited(spark, str(tmp_path / "b.csv")).count() == 2
+    assert [tuple(r) for r in read_delimited(spark, str(tmp_path / "b.csv")).collect()] == [("1", "2"), ("", ""), ("3", "4")]
     (tmp_path / "big.csv").write_text("a,b\n1," + "x" * 500 + "\n")
     assert read_delimited(spark, str(tmp_path / "big.csv"), max_chars=500).first()["b"] == "x" * 500
     with pytest.raises(Exception):

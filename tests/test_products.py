@@ -2,7 +2,7 @@ import gzip
 import json
 
 import pytest
-from conftest import SCORED, TWO_PRODUCTS, write_rows
+from exports import SCORED, TWO_PRODUCTS, write_rows
 from pyspark.sql import functions as F
 
 from granary.operators.quality import GateError
