@@ -13,7 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ FREQUENT, FREQUENT_BYTES = 1 << 16, 64
 #: Entries and n-grams that one task sums before it hands them on; shape memory, not results.
 HELD_ENTRIES, HELD_GRAMS = 400_000, 1 << 22
 PIECE_BYTES = 1 << 20
+#: Words that a task looks up once; shapes memory, not results.
+REMEMBERED = 300_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _GOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Hashes of what stands before the first and behind the last word; no word has a space in it.
@@ -94,37 +96,33 @@ def held_out(id: str, fold: int = 2, folds: int = 7) -> Column:
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
-    """``word`` (null: the end), occurrences ``n`` in learning rows and number ``docs`` of all rows with it.
+    """``word`` (null: the end), occurrences ``n`` in learning rows and ``others`` in all other rows.
 
     A task sums what it has read before anything is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, docs, ends = Counter(), Counter(), [0, 0]
+        n, others, ends = Counter(), Counter(), [0, 0]
 
         def flush() -> Iterator[pa.RecordBatch]:
-            found = list(docs)
-            columns = [[None, *(w.decode() for w in found)], [ends[0], *(n[w] for w in found)], [ends[1], *docs.values()]]
+            found = [*n, *(w for w in others if w not in n)]
+            columns = [[None, *(w.decode() for w in found)], [ends[1], *map(n.__getitem__, found)], [ends[0], *map(others.__getitem__, found)]]
             kinds = [pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=["word", "n", "docs"])
-            n.clear(), docs.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=["word", "n", "others"])
+            n.clear(), others.clear()
             ends[:] = 0, 0
 
         for batch in batches:
             for learns, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = set()
                 for some in words(text):
-                    seen.update(some)
-                    if learns:
-                        n.update(some)
-                docs.update(seen)
-                ends[:] = ends[0] + learns, ends[1] + 1
-                if len(docs) >= HELD_ENTRIES:
+                    (n if learns else others).update(some)
+                ends[learns] += 1
+                if len(n) + len(others) >= HELD_ENTRIES:
                     yield from flush()
         yield from flush()
 
-    found = rows.select("learns", "text").mapInArrow(run, "word string, n bigint, docs bigint")
-    return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    found = rows.select("learns", "text").mapInArrow(run, "word string, n bigint, others bigint")
+    return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("others").alias("others"))
 
 
 def _gram_counts(rows: DataFrame, order: int) -> DataFrame:
@@ -267,7 +265,7 @@ def _shares(counted: DataFrame) -> list[Broadcast]:
 
 @dataclass
 class Model:
-    """Counts of words (``word``, ``n``, ``docs``) and what tasks need to score texts."""
+    """Counts of words (``word``, ``n``) and what tasks need to score texts."""
 
     counted: DataFrame
     shares: list[Broadcast]
@@ -288,56 +286,79 @@ def learn(docs: DataFrame, learns: Column, text: str = "text", order: int = ORDE
     kinds = F.count(F.when(F.col("n") > 0, 1))
     tokens, kinds, ends = counted.agg(F.sum("n"), kinds, F.sum(F.when(F.col("word").isNull(), F.col("n")))).first()
     every = stage(_gram_counts(rows, order).unionByName(_unigram_counts(counted)), "scoring-grams")
-    # In the order of documents with the word, so no word outside is one that many rows share.
-    common = counted.where(F.octet_length("word") <= FREQUENT_BYTES).orderBy(F.desc("docs"), "word").limit(FREQUENT)
+    # By occurrences in all rows, so no word outside is one that many rows share.
+    common = counted.where(F.octet_length("word") <= FREQUENT_BYTES).orderBy(F.desc(F.col("n") + F.col("others")), "word").limit(FREQUENT)
     frequent = {w.encode(): n for w, n in common.select("word", "n").collect()}
     return Model(counted, _shares(every), docs.sparkSession.sparkContext.broadcast(frequent), tokens or 0, kinds or 0, ends or 0, order)
 
 
+class Words:
+    """What a task knows of the words that it has met: exact counts of frequent ones, hashes, and levels.
+
+    0 stands for the start of a text, 1 for its end.
+    """
+
+    def __init__(self, frequent: dict[bytes, int], ends: int, levels: Callable[[np.ndarray], np.ndarray]):
+        self.numbers: dict[bytes, int] = {}
+        self.shown: list[bytes] = []
+        self.frequent, self.levels_of = frequent, levels
+        self.hashes = np.array([START, END], dtype=np.uint64)
+        self.counts = np.array([0.0, ends])
+        self.levels = levels(self.hashes)
+
+    def number(self, some: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.numbers.get, some, repeat(0)), np.int64, len(some))
+        for i in np.flatnonzero(found == 0).tolist():
+            found[i] = self.numbers.setdefault(some[i], len(self.numbers) + 2)
+        return found
+
+    def catch_up(self) -> None:
+        """Look up the words numbered since the last time."""
+        new = list(islice(self.numbers, len(self.shown), None))
+        self.shown += new
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, new, repeat(SEED)), np.uint64, len(new))
+        self.hashes = np.concatenate([self.hashes, hashes])
+        self.counts = np.concatenate([self.counts, [self.frequent.get(w, np.nan) for w in new]])
+        self.levels = np.concatenate([self.levels, self.levels_of(hashes)])
+
+
 class Block:
-    """Some texts as numbers of their distinct words; 0 and 1 are the start and the end."""
+    """Some texts as numbers of their words."""
 
-    def __init__(self, texts: list[str | None]):
-        numbers: dict[bytes, int] = {}
+    def __init__(self, texts: list[str | None], known: Words):
         parts, sizes = [], []
         for text in texts:
-            parts.append(np.zeros(1, np.int64))
-            size = 2
-            for some in words(text):
-                for word in set(some):
-                    numbers.setdefault(word, len(numbers) + 2)
-                parts.append(np.fromiter(map(numbers.__getitem__, some), np.int64, len(some)))
-                size += len(some)
-            parts.append(np.ones(1, np.int64))
-            sizes.append(size)
-        self.words = list(numbers)
+            found = [known.number(some) for some in words(text)]
+            parts += [np.zeros(1, np.int64), *found, np.ones(1, np.int64)]
+            sizes.append(sum(map(len, found)) + 2)
+        known.catch_up()
+        self.known = known
         self.flat, self.sizes = np.concatenate(parts), np.array(sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words, repeat(SEED)), np.uint64, len(self.words))
-        self.hashes = np.concatenate([[START, END], self.hashes]).astype(np.uint64)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """The sum of each text's values."""
         return np.add.reduceat(values, self.starts)
 
-    def rest(self, counts: np.ndarray) -> pa.Array:
-        """The distinct words of each text that have no count here, and how often each occurs."""
+    def rest(self) -> pa.Array:
+        """The distinct words of each text that are not frequent, and how often each occurs."""
+        counts = self.known.counts
         at = np.flatnonzero(np.isnan(counts[self.flat]))
         text = np.searchsorted(self.starts, at, side="right") - 1
         keys, times = np.unique(text * len(counts) + self.flat[at], return_counts=True)
         text, number = np.divmod(keys, len(counts))
         used, back = np.unique(number, return_inverse=True)
-        shown = pa.array([self.words[i - 2].decode() for i in used.tolist()], type=pa.string())
+        shown = pa.array([self.known.shown[i - 2].decode() for i in used.tolist()], type=pa.string())
         rows = pa.StructArray.from_arrays([shown.take(pa.array(back)), pa.array(times.astype(np.int64))], names=["word", "n"])
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(self.sizes) + 1)).astype(np.int32)), rows)
 
 
 def _log_probabilities(block: Block, model: Model, levels: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """The sum over each text of log10 probabilities; ``levels`` asks the filter, for distinct words only once."""
+    """The sum over each text of log10 probabilities; ``levels`` asks the filter."""
     place = np.arange(len(block.flat)) - np.repeat(block.starts, block.sizes)
-    counts = _TYPICAL[levels(block.hashes)][block.flat]
+    counts = _TYPICAL[block.known.levels][block.flat]
     p = (counts + 1) / (model.tokens + model.kinds + 1)
-    for k, gram in enumerate(grams(block.hashes[block.flat], model.order)):
+    for k, gram in enumerate(grams(block.known.hashes[block.flat], model.order)):
         if k:
             history = np.concatenate([[0.0], counts[:-1]])
             inside = np.flatnonzero(place >= k)
@@ -364,6 +385,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     slim = Model(None, [], None, model.tokens, model.kinds, model.ends, model.order)
     shares, frequent = model.shares, model.frequent
     held: list[Filter] = []
+    met: list[Words] = []
 
     def levels(h: np.ndarray) -> np.ndarray:
         found = np.zeros(len(h), dtype=np.int64)
@@ -377,13 +399,15 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         return found
 
     def run(columns: list[list]) -> dict:
-        block, known = Block(columns[0]), frequent.value
-        counts = np.array([0.0, slim.ends, *(known.get(w, np.nan) for w in block.words)])
-        logs = np.log10(np.nan_to_num(counts) + 1)[block.flat]
+        if not met or len(met[0].numbers) > REMEMBERED:
+            met[:] = [Words(frequent.value, slim.ends, levels)]
+        block = Block(columns[0], met[0])
+        counts = np.nan_to_num(met[0].counts)
+        logs = np.log10(counts + 1)[block.flat]
         return {
             "n_tokens": block.sizes - 1,
-            "n_known": block.sums((np.nan_to_num(counts) > 0)[block.flat].astype(np.int64)),
-            "logs": block.sums(logs), "rest": block.rest(counts), "score": _log_probabilities(block, slim, levels),
+            "n_known": block.sums((counts > 0)[block.flat].astype(np.int64)),
+            "logs": block.sums(logs), "rest": block.rest(), "score": _log_probabilities(block, slim, levels),
         }
 
     scored = per_document(
