@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from granary import catalog
 
 _RANK, _LISTED = "_rank", "_listed"
+#: Ranges that a piece is cut into at a time; three times cover 2^33 positions.
+_RANGES = 1 << 11
 SCORE_FIELDS = (*catalog.PRODUCT_TEXT_FIELDS, catalog.PRODUCT_TIME_FIELD)
 
 
@@ -124,39 +126,45 @@ def row_cap(
 
     ``counted`` holds the rows that count toward the cap; 0 means no cap.
 
-    ``block`` cuts the source order into pieces of bounded size, for example file and block.  The
-    piece with the n-th row is found from one count per piece, the row itself inside that piece;
-    only the cut-off position reaches the driver.
+    ``block`` cuts the source order into pieces of bounded size, for example file and block; in a piece
+    the last column of ``order`` is a unique whole number and the others are constant.  Positions of a piece lie
+    less than 2^33 apart.
+
+    The piece with the n-th row is found from one count per piece, the row by counts of ranges of
+    positions that get narrower until one position is left.  No row is sorted or ranked, and
+    nothing runs before the result is used: the cut-off is a subquery of the plan.
     """
     if n <= 0:
         return df
+    *outer, position = order
     names = [f"_b{i}" for i in range(len(block))]
-    pieced = [b.alias(x) for x, b in zip(names, block, strict=True)]
-    counted = counted.select(*pieced, *order)
-    pieces = counted.groupBy(*names).agg(F.count("*").alias("_n"))
-    running = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    piece = (
-        pieces.withColumn("_upto", F.sum("_n").over(running))
-        .where(F.col("_upto") >= n)
-        .orderBy(*names)
-        .limit(1)
-        .first()
+    pieced = counted.select(*[b.alias(x) for x, b in zip(names, block, strict=True)], *order)
+    pieces = pieced.groupBy(*names).agg(
+        F.count("*").alias("_n"), *[F.min(c).alias(f"_o_{c}") for c in outer],
+        F.min(position).alias("_low"), (F.max(position) - F.min(position) + 1).alias("_width"),
     )
-    if piece is None:
-        return df
-    inside = counted
-    for x in names:
-        inside = inside.where(F.col(x) == piece[x])
-    position = F.row_number().over(Window.orderBy(*order))
-    last = (
-        inside.withColumn(_RANK, position)
-        .where(F.col(_RANK) == n - (piece["_upto"] - piece["_n"]))
-        .select(*order)
-        .first()
+    found = _reached(pieces, names, F.lit(n)).withColumn(
+        "_width", F.when(F.col("_width") > 1 << 33, F.raise_error(F.lit("positions of a piece are too far apart")).cast("bigint")).otherwise(F.col("_width"))
     )
-    if len(order) == 1:
-        return df.where(F.col(order[0]) <= F.lit(last[order[0]]))
-    return df.where(F.struct(*order) <= F.struct(*[F.lit(last[c]).alias(c) for c in order]))
+    for _ in range(3):
+        found = found.withColumn("_step", F.ceil(F.col("_width") / _RANGES).cast("bigint"))
+        inside = pieced.join(found.drop("_n"), names).where(F.expr(f"`{position}` >= _low AND `{position}` < _low + _width"))
+        ranges = inside.groupBy(
+            *names, *[f"_o_{c}" for c in outer], "_left", F.col("_step").alias("_width"),
+            F.expr(f"_low + (`{position}` - _low) DIV _step * _step").alias("_low"),
+        ).agg(F.count("*").alias("_n"))
+        found = _reached(ranges, ["_low"], F.col("_left"))
+    last = found.select(F.struct(*[F.col(f"_o_{c}").alias(c) for c in outer], F.col("_low").alias(position)).alias("last"))
+    # One row at most, so a subquery; none if the cap is not reached.
+    last = last.agg(F.first("last").alias("last")).scalar()
+    return df.where(last.isNull() | (F.struct(*order) <= last))
+
+
+def _reached(counts: DataFrame, order: Sequence[str], k: Column) -> DataFrame:
+    """Of counts in order, the one with the ``k``-th row; ``_left`` is that row's number in it."""
+    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = counts.withColumn("_upto", F.sum("_n").over(running)).withColumn("_left", k - F.col("_upto") + F.col("_n"))
+    return upto.where("_left BETWEEN 1 AND _n").drop("_upto")
 
 
 def numbered_repeats(

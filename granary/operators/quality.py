@@ -71,23 +71,46 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
+def _as_text(keys: Sequence[Column]) -> Column:
+    """Key values as one array of texts: equal where the keys are, nulls included."""
+    return F.array(*[k.cast("string") for k in keys])
+
+
+def key_counts(tables: Mapping[str, DataFrame], wanted: Mapping[str, Sequence[tuple[str, Sequence[Column], Column]]]) -> DataFrame:
+    """``(subject, key, n)``: how often each key of each subject occurs.
+
+    ``wanted`` names, by table, the subjects with their key columns and the condition for a row to count.  Each table is read once, whatever the
+    number of its subjects, and all of them meet in one exchange of counts that were combined before it.
+    """
+    def one(table: str, subjects: Sequence[tuple[str, Sequence[Column], Column]]) -> DataFrame:
+        rows = [F.struct(F.when(counts, name).alias("subject"), _as_text(keys).alias("key")) for name, keys, counts in subjects]
+        return tables[table].select(F.inline(F.array(*rows))).where("subject IS NOT NULL")
+
+    found = _union([one(t, subjects) for t, subjects in wanted.items() if subjects])
+    return found.groupBy("subject", "key").agg(F.count("*").alias("n"))
+
+
+def _with_all(found: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row per subject, also for those that nothing was found for."""
+    every = found.sparkSession.createDataFrame([(n,) for n in names], "subject string")
+    return every.join(found, "subject", "left")
+
+
 def check_unique(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """``(table, key, repeated_keys, extra_rows)`` per (table name, frame, key columns)."""
-    return _union(
-        [
-            repeated_keys(df, keys)
-            .agg(
-                F.count("*").alias("repeated_keys"),
-                F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("extra_rows"),
-            )
-            .select(
-                F.lit(table).alias("table"),
-                F.lit(",".join(keys)).alias("key"),
-                "repeated_keys",
-                "extra_rows",
-            )
-            for table, df, keys in checks
-        ]
+    frames = {name: df for name, df, _ in checks}
+    if not all(frames[name].sameSemantics(df) for name, df, _ in checks):
+        raise ValueError("checks of one table name need one frame")
+    wanted: dict[str, list] = {}
+    for name, _, keys in checks:
+        wanted.setdefault(name, []).append((f"{name}\t{','.join(keys)}", [F.col(k) for k in keys], F.lit(True)))
+    repeated = key_counts(frames, wanted).where("n > 1").groupBy("subject").agg(
+        F.count("*").alias("repeated_keys"), F.sum(F.col("n") - 1).alias("extra_rows")
+    )
+    parts = F.split("subject", "\t")
+    return _with_all(repeated, [s for subjects in wanted.values() for s, *_ in subjects]).select(
+        parts[0].alias("table"), parts[1].alias("key"),
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("repeated_keys", "extra_rows")],
     )
 
 
@@ -113,32 +136,80 @@ def missing_references(
 ) -> DataFrame:
     """``(edge, missing_rows, missing_keys)`` per edge: child rows without a parent.
 
-    A null child key counts as missing unless ``ignore_null``.  Child keys are counted before the
-    join, so a hot key is one row by then and the shuffle of the counts serves the join as well.
-    Text meets a number under the number's type, by ``try_cast``.
+    A null child key counts as missing unless ``ignore_null``.  Keys are counted before they meet, so a hot
+    key is one row by then; a table is read once for all edges of which it is the child, and once for those of
+    which it is the parent.  Text meets a number under the number's type, by ``try_cast``.
     """
-    def one(edge: Edge) -> DataFrame:
-        parent = tables[edge.parent].select(F.col(edge.parent_key).alias("parent"))
-        child = tables[edge.child].select(F.col(edge.child_key).alias("child"))
-        if ignore_null:
-            child = child.where(F.col("child").isNotNull())
-        parent_type = parent.schema["parent"].dataType
-        child_type = child.schema["child"].dataType
+    children, parents = edge_keys(tables, edges, ignore_null)
+    counted = key_counts(tables, children)
+    missing = _without_parent(counted, key_counts(tables, parents)).groupBy("subject").agg(
+        F.sum("n").alias("missing_rows"), F.count("*").alias("missing_keys")
+    )
+    return _with_all(missing, [e.name for e in edges]).select(
+        F.col("subject").alias("edge"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("missing_rows", "missing_keys")]
+    )
+
+
+def edge_keys(tables: Mapping[str, DataFrame], edges: Sequence[Edge], ignore_null: bool) -> tuple[dict, dict]:
+    """The subjects of :func:`key_counts` for the child keys and the parent keys of edges, by table."""
+    children: dict[str, list] = {}
+    parents: dict[str, list] = {}
+    for edge in edges:
+        child, parent = F.col(edge.child_key), F.col(edge.parent_key)
+        counts = child.isNotNull() if ignore_null else F.lit(True)  # text that is no number counts, as missing
+        child_type = tables[edge.child].schema[edge.child_key].dataType
+        parent_type = tables[edge.parent].schema[edge.parent_key].dataType
         if child_type != parent_type and isinstance(parent_type, T.StringType):
-            parent = parent.select(F.col("parent").try_cast(child_type).alias("parent"))
+            parent = parent.try_cast(child_type)
         elif child_type != parent_type:
-            child = child.select(F.col("child").try_cast(parent_type).alias("child"))
-        counted = child.groupBy("child").agg(F.count("*").alias("n"))
-        return (
-            counted.join(parent, F.col("child") == F.col("parent"), "left_anti")
-            .agg(
-                F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("missing_rows"),
-                F.count("*").alias("missing_keys"),
-            )
-            .select(F.lit(edge.name).alias("edge"), "missing_rows", "missing_keys")
-        )
+            child = child.try_cast(parent_type)
+        children.setdefault(edge.child, []).append((edge.name, [child], counts))
+        parents.setdefault(edge.parent, []).append((edge.name, [parent], parent.isNotNull()))
+    return children, parents
+
+
+def _without_parent(counted: DataFrame, known: DataFrame) -> DataFrame:
+    """Counts of child keys that no parent has; a null key has none."""
+    known = known.select("subject", F.col("key")[0].alias("_parent"))
+    return counted.withColumn("_child", F.col("key")[0]).join(
+        known, (counted["subject"] == known["subject"]) & (F.col("_child") == F.col("_parent")), "left_anti"
+    )
+
 
-    return _union([one(e) for e in edges])
+def table_checks(
+    tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], edges: Sequence[Edge]
+) -> DataFrame:
+    """``(check, subject, problems)``: rows with a repeated key, rows without a key column, child rows without
+    a parent (null aside).
+
+    Every table is read once for all of its checks, and one exchange of counted keys serves them: what
+    repeats, what is null and which keys a parent has are all read off the counts.
+    """
+    children, parents = edge_keys(tables, edges, ignore_null=True)
+    wanted: dict[str, list] = {}
+    for name, columns in keys.items():
+        unique = [(f"unique\t{name}.{','.join(columns)}", [F.col(c) for c in columns], F.lit(True))]
+        filled = [(f"filled\t{name}.{c}", [F.lit("")], F.col(c).isNull()) for c in columns]
+        wanted.setdefault(name, []).extend(unique + filled)
+    for kind, side in (("reference", children), ("parent", parents)):
+        for name, subjects in side.items():
+            wanted.setdefault(name, []).extend((f"{kind}\t{edge}", *rest) for edge, *rest in subjects)
+    counted = key_counts(tables, wanted)
+    kind, subject = F.substring_index("subject", "\t", 1), F.substring_index("subject", "\t", -1)
+    counted = counted.select(kind.alias("check"), subject.alias("subject"), F.col("key")[0].alias("first"), F.col("key"), "n")
+    # A child key and its parent are rows of one subject and value: no join is needed to see whether both are there.
+    linked = counted.where("check IN ('reference', 'parent')").groupBy("subject", "first").agg(
+        F.sum(F.when(F.col("check") == "reference", F.col("n"))).alias("rows"), F.bool_or(F.col("check") == "parent").alias("known")
+    )
+    problems = linked.where("NOT known").groupBy(F.lit("reference").alias("check"), "subject").agg(F.sum("rows").alias("problems"))
+    own = counted.where("check IN ('unique', 'filled')").groupBy("check", "subject").agg(
+        F.sum(F.when(F.col("check") == "unique", F.col("n") - 1).otherwise(F.col("n"))).alias("problems")
+    )
+    every = [s for subjects in wanted.values() for s, *_ in subjects if not s.startswith("parent")]
+    found = own.unionByName(problems).select(F.concat_ws("\t", "check", "subject").alias("subject"), "problems")
+    return _with_all(found, every).select(
+        kind.alias("check"), subject.alias("subject"), F.coalesce("problems", F.lit(0)).cast("bigint").alias("problems")
+    )
 
 
 def available_edges(tables: Mapping[str, DataFrame], edges: Sequence[Edge]) -> list[Edge]:

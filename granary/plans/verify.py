@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary import catalog
 from granary.functions.rules import primary_key
-from granary.operators.quality import available_edges, check_not_null, check_unique, missing_references
+from granary.operators.quality import available_edges, table_checks
 from granary.plans.products import NUTRIENTS, PRODUCTS
 from granary.sinks.events import RunLog
 from granary.sinks.tables import read_table
@@ -26,29 +24,9 @@ def verify_tables(tables: dict[str, DataFrame]) -> DataFrame:
     }
     keyed = {name: key for name, key in keys.items() if key}
     edges = available_edges(tables, catalog.ALL_EDGES)
-    problems = F.col("problems").cast("bigint")
-    parts = []
-    if keyed:
-        unique = check_unique([(name, tables[name], key) for name, key in keyed.items()])
-        filled = check_not_null({name: (tables[name], key) for name, key in keyed.items()})
-        parts += [
-            unique.select(
-                F.lit("unique").alias("check"), F.concat_ws(".", "table", "key").alias("subject"),
-                F.col("extra_rows").alias("problems"),
-            ),
-            filled.select(
-                F.lit("filled").alias("check"), F.concat_ws(".", "table", "column").alias("subject"),
-                F.col("null_rows").alias("problems"),
-            ),
-        ]
-    if edges:
-        missing = missing_references(tables, edges, ignore_null=True)
-        parts.append(missing.select(
-            F.lit("reference").alias("check"), F.col("edge").alias("subject"), F.col("missing_rows").alias("problems")
-        ))
-    if not parts:
+    if not keyed and not edges:
         raise ValueError("no table has a key or a reference to check")
-    return reduce(DataFrame.unionByName, parts).select("check", "subject", problems.alias("problems"))
+    return table_checks(tables, keyed, edges)
 
 
 def verify_database(
