@@ -11,6 +11,7 @@ from granary.registry.duplicates import _BEST, _COLUMNS
 from granary.registry.reshape import sql_long_rows
 from granary.session import scratch_path, stage
 from granary.sources.delimited import read_delimited, record_numbers
+from granary.streaming.buckets import read_buckets, upsert_buckets
 from granary.streaming.incremental import (
     compact,
     current_rows,
@@ -58,10 +59,14 @@ def _resume_load(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(target)
 
 
+def _typed(spark, sf_dir):
+    rows, fields, names = product_rows(product_export(spark, sf_dir), keep=["event_id"])
+    return stage(rows.where("code_norm <> ''"), "typed-versions"), fields, names
+
+
 def _versions(spark, sf_dir):
     """Product versions loaded in two deliveries; returns what reads them back."""
-    rows, fields, names = product_rows(product_export(spark, sf_dir), keep=["event_id"])
-    rows = rows.where("code_norm <> ''")
+    rows, fields, names = _typed(spark, sf_dir)
     inbox, target, checkpoint = (scratch_path(spark, n) for n in ("inbox", "versions", "offsets"))
     score = completeness_score(F.col("emitted"))
     for part in _halves(rows, "event_id"):
@@ -88,3 +93,16 @@ def _upsert_nutrients(spark, sf_dir):
     compact(spark, target, smaller, schema, "code_norm", score, ["event_id"])
     current = current_rows(spark, smaller, schema, "code_norm", score, ["event_id"])
     return nutrient_table(current, fields, names)
+
+
+@query("upsert_buckets", f"SELECT {_COLUMNS} FROM ({_BEST}) b")
+def _upsert_buckets(spark, sf_dir):
+    """Two deliveries merged into a target by key bucket; the read ranks nothing."""
+    rows, _, _ = _typed(spark, sf_dir)
+    inbox, target, checkpoint = (scratch_path(spark, n) for n in ("inbox", "buckets", "offsets"))
+    score = completeness_score(F.col("emitted"))
+    for part in _halves(rows, "event_id"):
+        part.write.mode("append").parquet(inbox)
+        upsert_buckets(
+            read_stream(spark, inbox, rows.schema), target, "code_norm", checkpoint, score, ["event_id"], buckets=16)
+    return product_table(read_buckets(spark, target, rows.schema))

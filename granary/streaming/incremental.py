@@ -37,7 +37,7 @@ def _target_schema(schema: T.StructType) -> T.StructType:
     )
 
 
-def _run_name(spark: SparkSession, checkpoint: str) -> str:
+def run_name(spark: SparkSession, checkpoint: str) -> str:
     """A name kept beside the checkpoint, so a restarted query goes on under the same one.
 
     Names sort by the time their checkpoint was made; a new checkpoint never reuses a folder.
@@ -59,13 +59,13 @@ def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataF
     return spark.read.schema(_target_schema(schema)).parquet(target)
 
 
-def _run_batches(
+def _append_batches(
     stream: DataFrame, target: str, checkpoint: str, rows: Callable[[DataFrame, DataFrame], DataFrame]
 ) -> None:
     """Write ``rows(batch, known)`` for every available batch, then stop."""
     spark, schema = stream.sparkSession, stream.schema
     _prepare(spark, schema, target)
-    run = _run_name(spark, checkpoint)
+    run = run_name(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         known = read_target(batch.sparkSession, target, schema).where(
@@ -74,6 +74,11 @@ def _run_batches(
         folder = f"{target.rstrip('/')}/{RUN}={run}/{BATCH}={batch_id}"
         rows(batch, known).write.mode("overwrite").parquet(folder)
 
+    run_batches(stream, checkpoint, write)
+
+
+def run_batches(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Call ``write`` for every available batch, then stop."""
     query = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query")
@@ -92,7 +97,7 @@ def ingest_increment(
     def fresh(batch: DataFrame, known: DataFrame) -> DataFrame:
         return keep_first(batch, keys, order).join(known.select(*keys), keys, "left_anti")
 
-    _run_batches(stream, target, checkpoint, lambda b, k: fresh(b, k).select(*stream.columns))
+    _append_batches(stream, target, checkpoint, lambda b, k: fresh(b, k).select(*stream.columns))
 
 
 def upsert_increment(
@@ -100,7 +105,7 @@ def upsert_increment(
     order: Sequence[str],
 ) -> None:
     """Append the best row of each key in the batch as a new version of that key."""
-    _run_batches(stream, target, checkpoint, lambda b, _: keep_best(b, key, score, order))
+    _append_batches(stream, target, checkpoint, lambda b, _: keep_best(b, key, score, order))
 
 
 def current_rows(
