@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.session import scratch_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +42,13 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame
     return {n: table(spark, sf_dir, n) for n in (names or TABLES)}
 
 
+def fresh_database(spark: SparkSession, label: str) -> str:
+    """A new database below the scratch folder."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{scratch_path(spark, label)}'")
+    return name
+
+
 def select_sql(columns: Mapping[str, str], source: str) -> str:
     """The SQL text that derives ``columns`` from a table."""
     items = ", ".join(f'{expression} AS "{name}"' for name, expression in columns.items())

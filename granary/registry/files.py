@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +26,7 @@ from granary.sources.bundle import bundle_inventory, read_expected_counts
 from granary.sources.delimited import CORRUPT, SOURCE_ORDER, profile_lines, read_delimited, record_numbers
 from granary.sources.files import list_files
 from granary.sources.fingerprint import fingerprint
-from granary.sources.manifest import read_code_list
+from granary.sources.manifest import manifest_fields, read_code_list
 
 _DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -138,6 +139,29 @@ def _blank_gzip(spark, sf_dir):
     return _numbered(read_delimited(spark, path, sep=",", with_order=True))
 
 
+@query("bom_scan", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS name FROM customer")
+def _bom_scan(spark, sf_dir):
+    """A byte-order mark before the header is no part of the first column's name."""
+    line = F.concat_ws("\t", F.col("c_custkey").cast("string"), "c_name")
+    path = _line_files(table(spark, sf_dir, "customer"), "c_custkey", line, "\ufeffcode\tname")
+    return read_delimited(spark, path, columns=["code", "name"])
+
+
+@query("cell_limit", "SELECT length(text) AS chars, count(*) AS cells FROM documents GROUP BY 1")
+def _cell_limit(spark, sf_dir):
+    """Every text fits into a limit of the longest one; with one character less the scan is refused."""
+    path = scratch_path(spark, "cells")
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    _write_csv(texts, path)
+    longest = texts.agg(F.max(F.length("text"))).first()[0]
+    cells = stage(read_delimited(spark, path, sep=",", strict=True, max_chars=longest).select("text"), "cells")
+    try:
+        read_delimited(spark, path, sep=",", strict=True, max_chars=longest - 1).write.format("noop").mode("overwrite").save()
+    except PySparkException:
+        return cells.groupBy(F.length("text").alias("chars")).agg(F.count("*").alias("cells"))
+    raise AssertionError("a cell beyond the limit was read")
+
+
 _WITH_BLANKS = F.expr("CASE WHEN event_id % 5 = 3 THEN '' ELSE concat('0', event_id, '\t', event_type) END")
 
 
@@ -283,6 +307,28 @@ def _manifest_round_trip(spark, sf_dir):
     return read.withColumn("duplicate_samples", F.array_join("duplicate_samples", ","))
 
 
+@query("manifest_fields", """
+    SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN NULL WHEN doc_id % 6 = 1 THEN NULL ELSE octet_length(encode(text)) END AS file_bytes,
+           CASE doc_id % 6 WHEN 0 THEN NULL WHEN 2 THEN NULL ELSE doc_id % 2 = 1 END AS duplicates_found,
+           CASE WHEN doc_id % 6 = 0 THEN NULL ELSE sha256(text) END AS file_sha256,
+           CASE doc_id % 6 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'file_bytes is not a bigint'
+           WHEN 2 THEN 'duplicates_found is not a boolean' END AS problem FROM documents
+""")
+def _manifest_fields(spark, sf_dir):
+    """One manifest per document, with typical faults: no object, a size that is no number, a flag that is no truth value."""
+    documents = table(spark, sf_dir, "documents")
+    fault = F.col("doc_id") % 6
+    text = F.to_json(F.struct(
+        F.sha2("text", 256).alias("file_sha256"),
+        F.when(fault == 1, "not_an_int").otherwise(F.octet_length("text").cast("string")).alias("file_bytes"),
+        F.when(fault == 2, "not_a_bool").when(fault == 3, "true").otherwise((F.col("doc_id") % 2 == 1).cast("string")).alias("duplicates_found"),
+        F.lit("tab").alias("delimiter"), F.col("doc_id").cast("string").alias("file_path"),
+    ))
+    written = documents.select("doc_id", F.when(fault == 0, F.concat(F.lit("["), F.to_json(F.array(F.lit("not"))), F.lit("]"))).otherwise(text).alias("value"))
+    read = manifest_fields(written, keep=["doc_id"])
+    return read.select("doc_id", "file_bytes", "duplicates_found", "file_sha256", "problem")
+
+
 @query("code_list", f"SELECT DISTINCT code FROM ({_LINE_COUNTS}) c WHERE code <> '' AND n > 1")
 def _code_list(spark, sf_dir):
     """Duplicate codes written one per line, appended again with blanks, read as a set."""

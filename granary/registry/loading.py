@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from granary import catalog
@@ -16,6 +14,7 @@ from granary.registry.base import (
     as_text,
     decimal_text,
     derive,
+    fresh_database,
     query,
     select_sql,
     sql_long,
@@ -26,7 +25,7 @@ from granary.registry.base import (
 from granary.registry.duplicates import _BEST, _COLUMNS, _resolved
 from granary.registry.reshape import sql_long_rows
 from granary.registry.text import DATES, sql_date
-from granary.session import scratch_path
+from granary.session import scratch_path, stage
 from granary.sinks.events import event_rows, field, log_events, read_events
 from granary.sinks.tables import (
     create_database,
@@ -133,12 +132,6 @@ def _conform_strict(spark, sf_dir):
 # --- tables in a database ---------------------------------------------------------------------
 
 
-def _fresh_database(spark, label: str) -> str:
-    name = f"{label}_{uuid.uuid4().hex}"
-    create_database(spark, name, scratch_path(spark, label))
-    return name
-
-
 _WINNERS_RAW = f"SELECT b.code_norm, x.* FROM ({_BEST}) b JOIN ({EXPORT_SQL}) x ON x.event_id = b.event_id"
 
 
@@ -152,7 +145,7 @@ _WINNERS_RAW = f"SELECT b.code_norm, x.* FROM ({_BEST}) b JOIN ({EXPORT_SQL}) x
 """)
 def _table_load(spark, sf_dir):
     """Create, append, replace and truncate, then count what each table holds."""
-    db = _fresh_database(spark, "table_load")
+    db = fresh_database(spark, "table_load")
     winners, fields, names = _resolved(spark, sf_dir)
     create_table(spark, db, "product_raw", catalog.PRODUCT_SCHEMA)
     write_table(product_table(winners), db, "product_raw")
@@ -171,49 +164,54 @@ def _table_load(spark, sf_dir):
 @query("product_table_read", f"SELECT {_COLUMNS} FROM ({_BEST}) b")
 def _product_table_read(spark, sf_dir):
     """Written product rows read back from the table."""
-    db = _fresh_database(spark, "product_table")
+    db = fresh_database(spark, "product_table")
     winners, _, _ = _resolved(spark, sf_dir)
     create_table(spark, db, "product_raw", catalog.PRODUCT_SCHEMA)
     write_table(product_table(winners), db, "product_raw")
     return read_table(spark, db, "product_raw")
 
 
-_SNAPSHOT = ("customer", "orders", "lineitem")
+_SNAPSHOT = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
 @query("schema_snapshot", " UNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", '{k}' AS type, true AS has_ddl, "
+    f"SELECT '{t}' AS \"table\", CAST({i} AS INTEGER) AS position, '{c.split()[0]}' AS \"column\", '{c.split()[1]}' AS type, true AS has_ddl, "
     f"(SELECT count(*) FROM {t}) AS rows"
-    for t, columns in {
-        "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
-                     ("c_mktsegment", "string")],
-        "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-                   ("o_totalprice", "double"), ("o_orderpriority", "string")],
-        "lineitem": [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double")],
-    }.items() for i, (c, k) in enumerate(columns, 1)))
+    for t, columns in _SNAPSHOT.items() for i, c in enumerate(columns.split(", "), 1)))
 def _schema_snapshot(spark, sf_dir):
     """Load three tables into a database, snapshot it and count what each table holds."""
-    db = _fresh_database(spark, "schema_snapshot")
-    t = tables(spark, sf_dir, *_SNAPSHOT)
-    write_table(t["customer"], db, "customer")
-    write_table(t["orders"].drop("o_orderdate"), db, "orders")
-    write_table(t["lineitem"].select("l_orderkey", "l_linenumber", "l_quantity"), db, "lineitem")
+    db = fresh_database(spark, "schema_snapshot")
+    for name, df in tables(spark, sf_dir, *_SNAPSHOT).items():
+        write_table(df, db, name)
     counts = row_counts({n: read_table(spark, db, n) for n in _SNAPSHOT})
     ddl = table_ddl(spark, db).select("table", F.col("ddl").startswith("CREATE TABLE").alias("has_ddl"))
     columns = snapshot_schema(spark, db).drop("nullable")
     return columns.join(counts, "table").join(ddl, "table")
 
 
-@query("database_drop", "SELECT count(*) AS rows_before, 0 AS tables_after FROM customer")
+@query("database_drop", """
+    SELECT s."table", s.rows AS rows_before, CASE s."table" WHEN 'orders' THEN o.rows ELSE 0 END AS rows_after
+    FROM (SELECT 'customer' AS "table", count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders) s,
+         (SELECT count(*) AS rows FROM orders) o
+""")
 def _database_drop(spark, sf_dir):
-    """Load a table, drop its database with everything in it, create it again."""
-    db = _fresh_database(spark, "database_drop")
-    write_table(table(spark, sf_dir, "customer"), db, "customer")
-    before = read_table(spark, db, "customer").count()
+    """Two tables are loaded, their database is dropped with everything in it, and one of them is loaded again."""
+    t = tables(spark, sf_dir, "customer", "orders")
+    db = fresh_database(spark, "database_drop")
+    for name, df in t.items():
+        write_table(df, db, name)
+    before = stage(row_counts({n: read_table(spark, db, n) for n in t}), "rows-before").withColumnRenamed("rows", "rows_before")
     drop_database(spark, db)
     create_database(spark, db, scratch_path(spark, "database_drop"))
-    after = list_tables(spark, db).agg(F.count("*").cast("int").alias("tables_after"))
-    return after.select(F.lit(before).cast("bigint").alias("rows_before"), "tables_after")
+    write_table(t["orders"], db, "orders")
+    found = [r["table"] for r in list_tables(spark, db).collect()]
+    after = row_counts({n: read_table(spark, db, n) for n in found}).withColumnRenamed("rows", "rows_after")
+    return before.join(after, "table", "left").select("table", "rows_before", F.coalesce("rows_after", F.lit(0)).alias("rows_after"))
 
 
 @query("provenance", f"""
@@ -230,7 +228,7 @@ def _provenance(spark, sf_dir):
         F.lit("tab").alias("delimiter"),
         F.lit("minimal").alias("nutrients_mode"),
     )
-    db = _fresh_database(spark, "provenance")
+    db = fresh_database(spark, "provenance")
     create_table(spark, db, "import_metadata", catalog.PROVENANCE_SCHEMA)
     write_table(provenance_rows(runs), db, "import_metadata")
     stamped = (F.length("id") == 36) & (F.col("imported_at") <= F.current_timestamp())
