@@ -2,75 +2,56 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.sources.files import list_files
 
-IN_MEMORY_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 1024 * 1024  # fixed value: read size of the streamed hash
 FINGERPRINT_SCHEMA = "path string, file_sha256 string, file_bytes long"
+#: Names of Spark's connectors under which Arrow knows the same store.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
-def _streamed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import hashlib
+def _location(path: str) -> str:
+    """A path as Arrow wants it: its own names of stores, and two slashes more than Spark prints for local files."""
+    scheme, rest = path.split(":", 1)
+    return f"{_SCHEMES.get(scheme, scheme)}://{re.sub('^/+', '/', rest) if scheme == 'file' else rest.removeprefix('//')}"
 
+
+def file_digest(path: str) -> tuple[str, int]:
+    """SHA-256 and size of a file, read chunk by chunk."""
     from pyarrow import fs
 
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            # file systems want "scheme:/path" with two slashes more than Spark prints for local files
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not (
-                path.startswith("file:///")
-            ) else path
-            system, name = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(name, buffer_size=CHUNK_BYTES) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame(
-            {"path": batch["path"], "file_sha256": digests, "file_bytes": batch["length"]}
-        )
-
-
-def fingerprint(
-    spark: SparkSession,
-    path: str | Sequence[str],
-    *,
-    glob: str = "*",
-    in_memory_bytes: int = IN_MEMORY_BYTES,
-) -> DataFrame:
+    system, name = fs.FileSystem.from_uri(_location(path))
+    digest, size = hashlib.sha256(), 0
+    with system.open_input_stream(name, buffer_size=CHUNK_BYTES) as stream:
+        while chunk := stream.read(CHUNK_BYTES):
+            digest.update(chunk)
+            size += len(chunk)
+    return digest.hexdigest(), size
+
+
+def fingerprint(spark: SparkSession, path: str | Sequence[str], *, glob: str = "*") -> DataFrame:
     """``(path, file_sha256, file_bytes)`` per file.
 
-    Small files are hashed by the file source itself.  A larger file is streamed chunk by chunk by
-    one task (a SHA-256 cannot be split), so memory stays constant whatever its size.
+    A SHA-256 cannot be split, so a task streams each file in constant memory, whatever its size; tasks share the
+    files.  The store must be one that Arrow opens (local, HDFS, S3, GCS), for files of any size.
     """
-    small = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .load(path)
-        .where((F.col("length") <= in_memory_bytes) & (F.col("length") > 0))
-        .select(
-            "path",
-            F.sha2("content", 256).alias("file_sha256"),
-            F.col("length").alias("file_bytes"),
-        )
-    )
-    large = (
-        list_files(spark, path, glob)
-        .where(F.col("length") > in_memory_bytes)
-        .repartition("path")
-        .mapInPandas(_streamed, FINGERPRINT_SCHEMA)
-    )
-    empty = list_files(spark, path, glob).where("length = 0").select(
-        "path", F.sha2(F.lit(""), 256).alias("file_sha256"), F.col("length").alias("file_bytes")
-    )
-    return small.unionByName(large).unionByName(empty)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0)
+            digests, sizes = zip(*map(file_digest, paths.to_pylist()), strict=True) if len(paths) else ((), ())
+            arrays = [paths, pa.array(digests, type=pa.string()), pa.array(sizes, type=pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["path", "file_sha256", "file_bytes"])
+
+    return list_files(spark, path, glob).select("path").repartition("path").mapInArrow(run, FINGERPRINT_SCHEMA)
 
 
 def combined_fingerprint(files: DataFrame) -> DataFrame:

@@ -135,7 +135,7 @@ def test_fingerprints_match_hashlib(spark, tmp_path):
     contents = {"a.bin": b"x" * 3_000_000, "b.bin": b"hello", "empty.bin": b""}
     for name, data in contents.items():
         (tmp_path / name).write_bytes(data)
-    rows = fingerprint(spark, str(tmp_path), in_memory_bytes=1000).collect()
+    rows = fingerprint(spark, str(tmp_path)).collect()
     got = {r["path"].rsplit("/", 1)[1]: (r["file_sha256"], r["file_bytes"]) for r in rows}
     assert got == {n: (hashlib.sha256(d).hexdigest(), len(d)) for n, d in contents.items()}
 
