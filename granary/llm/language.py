@@ -33,7 +33,8 @@ STEEPNESS = 3.0
 #: A text is ambiguous if its score is below.
 AMBIGUOUS_BELOW = 0.75
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and the number-like characters (fractions, circled digits) that ``isalpha`` tells from them.
+LIKE_LETTER = re.compile(r"[^\W\d_]")
 
 
 def features(text: str) -> np.ndarray:
@@ -48,7 +49,7 @@ def features(text: str) -> np.ndarray:
 
 
 def has_letters(text: str | None) -> bool:
-    return bool(text) and LETTER.search(text) is not None
+    return bool(text) and any(found.group().isalpha() for found in LIKE_LETTER.finditer(text))
 
 
 def code(languages: int) -> np.ndarray:
