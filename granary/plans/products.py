@@ -30,13 +30,8 @@ from granary.operators.quality import (
 from granary.operators.reshape import nutrient_table, product_rows, product_table
 from granary.session import cleans_staged, stage
 from granary.sinks.events import RunLog
-from granary.sinks.tables import (
-    append_provenance,
-    create_database,
-    create_table,
-    read_table,
-    write_table,
-)
+from granary.sinks.publication import create_published, publish
+from granary.sinks.tables import append_provenance, create_database, create_table, read_table
 from granary.sources.delimited import (
     MAX_CELL_CHARS,
     SOURCE_BLOCK,
@@ -217,19 +212,13 @@ def import_products(
         gate_unique(load.nutrients, ["code_norm", "nutrient_key"], NUTRIENTS)
 
     create_database(spark, database, location)
-    for table, schema in (
-        (PRODUCTS, catalog.PRODUCT_SCHEMA),
-        (NUTRIENTS, catalog.NUTRIENT_SCHEMA),
-        (PROVENANCE, catalog.PROVENANCE_SCHEMA),
-    ):
-        create_table(spark, database, table, schema)
+    create_published(spark, database, {PRODUCTS: catalog.PRODUCT_SCHEMA, NUTRIENTS: catalog.NUTRIENT_SCHEMA})
+    create_table(spark, database, PROVENANCE, catalog.PROVENANCE_SCHEMA)
     if not truncate:
         known = read_table(spark, database, PRODUCTS).select("code_norm")
         if not load.products.join(known, "code_norm", "left_semi").isEmpty():
             raise GateError(f"{database}.{PRODUCTS} already holds some of these codes")
-    mode = "overwrite" if truncate else "append"
-    write_table(load.products, database, PRODUCTS, mode=mode)
-    write_table(load.nutrients, database, NUTRIENTS, mode=mode)
+    publish(spark, database, {PRODUCTS: load.products, NUTRIENTS: load.nutrients}, replace=truncate)
     append_provenance(
         spark, database, file_path=path, file_sha256=file["file_sha256"],
         file_bytes=file["file_bytes"], delimiter=used, nutrients_mode=nutrients, table=PROVENANCE,

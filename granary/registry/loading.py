@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from granary import catalog
@@ -27,6 +30,7 @@ from granary.registry.reshape import sql_long_rows
 from granary.registry.text import DATES, sql_date
 from granary.session import scratch_path, stage
 from granary.sinks.events import event_rows, field, log_events, read_events
+from granary.sinks.publication import create_published, publish
 from granary.sinks.tables import (
     create_database,
     create_table,
@@ -214,6 +218,29 @@ def _database_drop(spark, sf_dir):
     return before.join(after, "table", "left").select("table", "rows_before", F.coalesce("rows_after", F.lit(0)).alias("rows_after"))
 
 
+@query("published_load", """
+    SELECT step, "table", CASE WHEN step = 3 THEN n WHEN "table" = 'customer' THEN odd ELSE odd_orders END AS rows
+    FROM (SELECT unnest([1, 2, 3]) AS step) s, (
+        SELECT 'customer' AS "table", count(*) AS n, count(*) FILTER (c_custkey % 2 = 1) AS odd, 0 AS odd_orders FROM customer
+        UNION ALL SELECT 'orders', count(*), 0, count(*) FILTER (o_custkey % 2 = 1) FROM orders) t
+""")
+def _published_load(spark, sf_dir):
+    """Rows of two tables after a load, after one that died between them, and after one that replaced the first."""
+    t = tables(spark, sf_dir, "customer", "orders")
+    db = fresh_database(spark, "published_load")
+    create_published(spark, db, {n: df.schema for n, df in t.items()})
+    counts = lambda step: stage(
+        row_counts({n: read_table(spark, db, n) for n in t}), "published").withColumn("step", F.lit(step))
+    publish(spark, db, {"customer": t["customer"].where("c_custkey % 2 = 1"), "orders": t["orders"].where("o_custkey % 2 = 1")})
+    found = [counts(1)]
+    broken = t["orders"].withColumn("o_orderstatus", F.raise_error(F.lit("the load dies here")).cast("string"))
+    with contextlib.suppress(PySparkException):
+        publish(spark, db, {"customer": t["customer"], "orders": broken})
+    found.append(counts(2))
+    publish(spark, db, t, replace=True)
+    return found[0].unionByName(found[1]).unionByName(counts(3))
+
+
 @query("provenance", f"""
     SELECT '{catalog.PRODUCT_EXPORT_URL}' AS source_url, source || '/' || CAST(doc_id AS VARCHAR) AS file_path,
            sha256(text) AS file_sha256, octet_length(encode(text)) AS file_bytes, 'tab' AS delimiter,
