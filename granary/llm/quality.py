@@ -41,10 +41,12 @@ FLOORS = tuple(0.5 / math.sqrt(n) for n in UNITS)
 CORE = 0.75
 #: Chance that a text of a normal group is rejected; the README has the share of labelled good texts.
 REJECTED = 1e-3
-#: Rows that a group needs for an estimate of its own; smaller ones are pooled by language, then all.
+#: Rows that a group needs for an estimate of its own; smaller ones are pooled by language, then all, and if these
+#: are still too few they are judged by the estimate of all rows.
 MIN_GROUP = 20 * len(STATISTICS)
 #: Rank accuracy of the quantiles, as a share 1/ACCURACY of a group.
 ACCURACY = 10_000
+#: Steps of an estimate, which gets tighter with each; it is used as it then is, settled or not.
 MAX_STEPS, SETTLED = 8, 1e-3
 #: Groups (of a few hundred bytes each) whose estimates are sent to every task.
 BROADCAST_GROUPS = 20_000
@@ -237,7 +239,8 @@ def fit(counted: DataFrame, lang: str = "lang", source: str = "source") -> DataF
 
     ``counted`` has the columns of ``text_counts``; rows that fail the base rules take no part.  A language
     and source with under ``MIN_GROUP`` rows shares the estimate of the small sources of its language, or
-    failing that of all that is left; if even that is too small its ``m`` and ``w`` are null.
+    failing that of all that is left; if even that is too small, that of all rows.  Only where all usable rows
+    together are under ``MIN_GROUP``, too few to tell what is usual, ``m`` and ``w`` are null.
     """
     usable = counted.where(~base_failed()).select(F.col(lang).alias("lang"), F.col(source).alias("source"), _vector().alias("x"))
     rows = stage(usable.select("lang", "source", *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(SIZE)]), "quality-rows")
@@ -248,11 +251,16 @@ def fit(counted: DataFrame, lang: str = "lang", source: str = "source") -> DataF
     groups = stage(
         sizes.join(pooled.withColumnRenamed("lang", "pool_lang"), F.col("lang").eqNullSafe(F.col("pool_lang")))
         .withColumn("grp", F.when(F.col("n") >= MIN_GROUP, key(0, "lang", "source")).when(F.col("pool") >= MIN_GROUP, key(1, "lang")).otherwise(key(2)))
-        .select("lang", "source", "grp"),
+        .select("lang", "source", "grp", "n"),
         "quality-groups",
     )
+    left = groups.where(F.col("grp") == key(2)).agg(F.sum("n")).first()[0] or 0
+    groups = groups.drop("n")
     columns = [f"x{i}" for i in range(SIZE)]
-    named = stage(_with(rows, groups, "lang", "source").select("grp", *columns), "quality-vectors")
+    named = _with(rows, groups, "lang", "source").select("grp", *columns)
+    if 0 < left < MIN_GROUP:
+        named = named.where(F.col("grp") != key(2)).unionByName(rows.select(key(2).alias("grp"), *columns))
+    named = stage(named, "quality-vectors")
     enough = stage(named.groupBy("grp").count().where(F.col("count") >= MIN_GROUP).select("grp"), "quality-enough")
     estimated = enough.count()
     estimates = _estimates(_beside(named, enough, ["grp"], estimated), estimated)

@@ -112,6 +112,7 @@ def brute_verdicts(rows):
             pools[g[0]] += v
     pooled = {lang for lang, v in pools.items() if len(v) >= quality.MIN_GROUP}
     rest = [x for lang, v in pools.items() if lang not in pooled for x in v]
+    rest = rest if len(rest) >= quality.MIN_GROUP else [x for v in usable.values() for x in v]
     members = {g: usable[g] if g in large else pools[g[0]] if g[0] in pooled else rest for g in usable}
     models = {g: brute_estimate(np.array(v)) for g, v in members.items() if len(v) >= quality.MIN_GROUP}
     limit = quality.chi_square_quantile(1 - quality.REJECTED, quality.SIZE - 1)
@@ -153,7 +154,19 @@ def test_verdicts(documents, corpus, graded, broadcast, monkeypatch):
         assert (g[2] is None) == (w[2] is None)
         assert g[2] is None or g[2] == pytest.approx(w[2], rel=1e-6, abs=1e-6)
     junk = {1000 + i for i in range(420) if i % 41 == 0}
-    assert {g[0] for g in got if g[0] >= 1000 and not g[3]} == {i for i in junk if i < 1380}  # "few" has no estimate
+    assert {g[0] for g in got if g[0] >= 1000 and not g[3]} == junk  # "few" is judged by the estimate of all rows
+    counted.unpersist()
+
+
+@pytest.mark.parametrize("rare", [1, 139])
+def test_rare_languages_are_judged_by_all_rows(documents, graded, rare):
+    junk = graded[41][1]
+    rows = [(r[0], r[1], "en", "a") for r in graded[:200]] + [(2000 + i, graded[210 + i][1], "rare", f"s{i % 7}") for i in range(rare)]
+    rows[-1] = (2999, junk, "rare", "odd")
+    counted = quality.text_counts(documents(rows)).cache()
+    got = {r.doc_id: (r.kept, r.distance) for r in quality.judge(counted, quality.fit(counted)).collect()}
+    assert not got[2999][0] and all(d is not None for _, d in got.values())
+    assert {i for i, (kept, _) in got.items() if kept} == {w[0] for w in brute_verdicts(rows) if w[3]}
     counted.unpersist()
 
 
