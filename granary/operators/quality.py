@@ -337,11 +337,34 @@ def throughput(inventory: DataFrame, elapsed_seconds: Column | float) -> DataFra
 NO_BREAK_SPACE = "\u00a0"
 
 
-def _beside(inventory: DataFrame, dictionary: str | DataFrame) -> DataFrame:
-    """The inventory with the dictionary's text (one document) as column ``_text``."""
+#: Places of the text that one task looks at together.
+_PLACES = 4096
+
+
+def _texts(inventory: DataFrame, dictionary: str | DataFrame) -> DataFrame:
     if isinstance(dictionary, str):
         dictionary = inventory.sparkSession.createDataFrame([(dictionary,)], "text string")
-    return inventory.join(dictionary.select(F.col("text").alias("_text")))
+    return dictionary.select(F.col("text").alias("_text"))
+
+
+def mentioned(tokens: DataFrame, texts: DataFrame) -> DataFrame:
+    """The distinct values of the one column of ``tokens`` that occur anywhere in a text (column ``_text``).
+
+    The pieces of the texts that are as long as some token meet the tokens by equality.  Cost follows the texts
+    times the different lengths of tokens, not their number.
+    """
+    name = tokens.columns[0]
+    wanted = tokens.where(F.length(name) > 0).distinct()
+    lengths = wanted.agg(F.collect_set(F.length(name)).alias("lengths")).scalar()
+    starts = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)), F.lit(_PLACES))
+    parts = texts.where("_text IS NOT NULL").select("_text", F.explode(lengths).alias("_length")).select(
+        "_length", F.explode(F.transform(starts, lambda at: F.substring("_text", at, F.col("_length") + (_PLACES - 1)))).alias("_part")
+    ).where("length(_part) >= _length")
+    places = F.sequence(F.lit(1), F.length("_part") - F.col("_length") + 1)
+    pieces = parts.repartition("_part").select(
+        F.explode(F.array_distinct(F.transform(places, lambda at: F.substring("_part", at, F.col("_length"))))).alias("_piece")
+    )
+    return wanted.join(pieces, F.col(name) == F.col("_piece"), "left_semi")
 
 
 def dictionary_coverage(
@@ -349,15 +372,18 @@ def dictionary_coverage(
 ) -> DataFrame:
     """Add ``table_found`` (whole word) and ``header_found`` (anywhere) to an inventory.
 
-    The dictionary is one document: a text, or a frame with one row ``text``.  Blank headers are left out.
+    The dictionary is a text, or a frame with texts in column ``text``.  Blank headers are left out.
     """
-    token = strip(F.col(header))
-    text = F.translate("_text", NO_BREAK_SPACE, " ")
+    texts = _texts(inventory, dictionary)
+    rows = inventory.withColumn("_token", strip(F.col(header))).where(F.col("_token") != "")
+    words = texts.select(F.explode(F.split("_text", r"(?U)\W+")).alias("_word")).distinct()
+    found = mentioned(rows.select("_token"), texts.select(F.translate("_text", NO_BREAK_SPACE, " ").alias("_text")))
     return (
-        _beside(inventory.where(token != ""), dictionary)
-        .withColumn("table_found", F.array_contains(F.split(text, r"(?U)\W+"), F.col(table)))
-        .withColumn("header_found", F.contains(text, token))
-        .drop("_text")
+        rows.join(words, F.col(table) == F.col("_word"), "left")
+        .join(found.select(F.col("_token").alias("_found")), F.col("_token") == F.col("_found"), "left")
+        .withColumn("table_found", F.col("_word").isNotNull())
+        .withColumn("header_found", F.col("_found").isNotNull())
+        .drop("_token", "_word", "_found")
     )
 
 
@@ -365,8 +391,8 @@ def tables_not_mentioned(
     inventory: DataFrame, dictionary: str | DataFrame, table: str = "table"
 ) -> DataFrame:
     """Tables whose name the dictionary mentions nowhere, not even inside a word."""
-    named = _beside(inventory.select(table).distinct(), dictionary)
-    return named.where(~F.contains("_text", F.col(table))).select(table)
+    names = inventory.select(table).distinct()
+    return names.join(mentioned(names, _texts(inventory, dictionary)), table, "left_anti")
 
 
 def coverage_by_table(coverage: DataFrame, table: str = "table") -> DataFrame:
