@@ -10,7 +10,7 @@ from granary.operators.enrich import browse, extend, label, lookup, match_by_dig
 from granary.registry.base import as_text, derive, query, select_sql, sql_digits, table
 from granary.registry.duplicates import _BEST, product_load
 from granary.session import scratch_path
-from granary.sinks.layout import write_layout
+from granary.sinks.layout import write_clustered, write_layout
 from granary.sinks.tables import create_database, read_table, write_bucketed
 
 
@@ -149,6 +149,21 @@ def _lookup_layout(spark, sf_dir):
     return lookup(spark.read.schema(lines.schema).parquet(path), "l_partkey", 77)
 
 
+@query("lookup_clustered", """
+    SELECT 'part' AS path, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_partkey = 77
+    UNION ALL SELECT 'order', l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey = 96
+""")
+def _lookup_clustered(spark, sf_dir):
+    """Lookups by two columns over one copy that is clustered by both."""
+    lines = table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "clustered")
+    write_clustered(lines, ["l_partkey", "l_orderkey"], path, partitions=16)
+    copy = spark.read.schema(lines.schema).parquet(path)
+    found = lambda name, column, value: lookup(copy, column, value).select(
+        F.lit(name).alias("path"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return found("part", "l_partkey", 77).unionByName(found("order", "l_orderkey", 96))
+
+
 @query("browse", "SELECT doc_id, lang, source FROM documents WHERE contains(text, 'the that')")
 def _browse(spark, sf_dir):
     return browse(table(spark, sf_dir, "documents"), "text", "the that").select("doc_id", "lang", "source")

@@ -10,7 +10,7 @@ from granary.operators.dedupe import (
     profile_duplicates,
     row_cap,
 )
-from granary.sinks.layout import write_layout
+from granary.sinks.layout import write_clustered, write_layout
 from granary.operators.enrich import label
 from granary.operators.quality import GateError, gate_unique
 from granary.sinks.tables import (
@@ -130,6 +130,25 @@ def test_layout_spreads_a_hot_value(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "l")).count() == 20000
 
 
+def test_one_copy_serves_two_columns(spark, tmp_path):
+    """A value of either column lies inside the bounds of few files."""
+    rows = spark.range(40_000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1000))).alias("a"), F.pmod(F.xxhash64(F.col("id") + 7), F.lit(1000)).alias("b"),
+        F.when(F.col("id") % 50 > 0, F.col("id")).alias("c"))
+    write_clustered(rows, ["a", "b"], str(tmp_path / "z"), partitions=64)
+    copy = spark.read.parquet(str(tmp_path / "z"))
+    assert copy.count() == 40_000 and copy.exceptAll(rows).isEmpty()
+    bounds = copy.groupBy(F.input_file_name()).agg(*[f(c).alias(f"{c}_{f.__name__}") for c in "ab" for f in (F.min, F.max)])
+    files = bounds.count()
+    assert files >= 48
+    for column in "ab":
+        for value in (1, 333, 998):
+            assert bounds.where((F.col(f"{column}_min") <= value) & (F.col(f"{column}_max") >= value)).count() <= files / 3
+    write_clustered(rows.limit(0), ["a", "c"], str(tmp_path / "none"))
+    write_clustered(rows, ["c"], str(tmp_path / "nulls"), partitions=4)
+    assert spark.read.parquet(str(tmp_path / "nulls")).where("c IS NULL").count() == 800
+
+
 def test_fingerprints_match_hashlib(spark, tmp_path):
     import hashlib
     contents = {"a.bin": b"x" * 3_000_000, "b.bin": b"hello", "empty.bin": b""}
