@@ -23,10 +23,11 @@ SETTINGS = {
 _staged: list[list[str]] = []
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, warehouse: str | None = None) -> SparkSession:
     """A session for tests and benches; on a cluster the submitted session is used as it is."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
+        .config(map={"spark.sql.warehouse.dir": warehouse} if warehouse else {})
         .appName("granary")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config(map=SETTINGS)

@@ -9,8 +9,9 @@ from granary.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, 2)
+def spark(tmp_path_factory):
+    # A warehouse of its own: tables that a killed run left behind do not matter.
+    session = local_session(8, 2, str(tmp_path_factory.mktemp("warehouse")))
     yield session
     session.stop()
 
