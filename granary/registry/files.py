@@ -104,10 +104,10 @@ def _blank_lines(spark, sf_dir):
     return read_delimited(spark, path, columns=["name"]).groupBy("name").agg(F.count("*").alias("rows"))
 
 
-_ODD_LINE = F.expr("""
+_ODD_LINE = """
     CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN concat(event_id, ',"', event_type, '\n\n', props_, '"')
     WHEN 2 THEN concat(event_id, ',"', event_type, '" and more') ELSE concat(event_id, ',', event_type) END
-""")
+"""
 _ODD_SQL = """
     SELECT CASE event_id % 7 WHEN 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS id,
            CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN event_type || chr(10) || chr(10) || replace(props, '"', '')
@@ -128,14 +128,14 @@ def _numbered(read):
 @query("scan_parity", _ODD_SQL)
 def _scan_parity(spark, sf_dir):
     """Quoted breaks, blank records and text behind a closing quote, with dense record numbers."""
-    path = _line_files(_odd_events(spark, sf_dir), "event_id", _ODD_LINE, "id,kind", rows=200_000)
+    path = _line_files(_odd_events(spark, sf_dir), "event_id", F.expr(_ODD_LINE), "id,kind", rows=200_000)
     return _numbered(read_delimited(spark, path, sep=",", with_order=True))
 
 
 @query("blank_gzip", _ODD_SQL)
 def _blank_gzip(spark, sf_dir):
     """The same from gzip files, each unpacked once."""
-    path = _line_files(_odd_events(spark, sf_dir), "event_id", _ODD_LINE, "id,kind", compression="gzip")
+    path = _line_files(_odd_events(spark, sf_dir), "event_id", F.expr(_ODD_LINE), "id,kind", compression="gzip")
     return _numbered(read_delimited(spark, path, sep=",", with_order=True))
 
 
@@ -162,7 +162,7 @@ def _cell_limit(spark, sf_dir):
     raise AssertionError("a cell beyond the limit was read")
 
 
-_WITH_BLANKS = F.expr("CASE WHEN event_id % 5 = 3 THEN '' ELSE concat('0', event_id, '\t', event_type) END")
+_WITH_BLANKS = "CASE WHEN event_id % 5 = 3 THEN '' ELSE concat('0', event_id, '\t', event_type) END"
 
 
 @query("blank_numbers", """
@@ -172,7 +172,7 @@ _WITH_BLANKS = F.expr("CASE WHEN event_id % 5 = 3 THEN '' ELSE concat('0', event
 """)
 def _blank_numbers(spark, sf_dir):
     """Blank lines of plain files are numbered where they stand."""
-    path = _line_files(table(spark, sf_dir, "events"), "event_id", _WITH_BLANKS, "code\tkind")
+    path = _line_files(table(spark, sf_dir, "events"), "event_id", F.expr(_WITH_BLANKS), "code\tkind")
     return _numbered(read_delimited(spark, path, with_order=True))
 
 
@@ -183,7 +183,7 @@ def _blank_numbers(spark, sf_dir):
 """)
 def _blank_capped(spark, sf_dir):
     """Blank lines behind the last row that a cap admits are not read."""
-    path = _line_files(table(spark, sf_dir, "events"), "event_id", _WITH_BLANKS, "code\tkind", rows=500)
+    path = _line_files(table(spark, sf_dir, "events"), "event_id", F.expr(_WITH_BLANKS), "code\tkind", rows=500)
     scan = stage(read_delimited(spark, path, columns=["code"], with_order=True), "capped")
     rows = scan.withColumn("code_norm", digits_key(F.col("code")))
     read = rows_read(rows, SOURCE_ORDER, "none", max_rows=777)
