@@ -3,11 +3,12 @@
 A target is a folder of Parquet files with one sub-folder per run and micro-batch.  A batch writes
 only its own sub-folder and overwrites it when Spark replays the batch, so a load is exactly-once
 without a transaction log, costs as much as the batch and never rewrites older rows.  Streaming
-state stays empty: what is already loaded is read from the target.
+state stays empty: what is already loaded is known from the target, by the key filters of its folders first.
 """
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators.dedupe import keep_best, keep_first
+from granary.session import stage, staged_folders
+from granary.streaming.keyfilters import BATCH, RUN, Folder, prepare_filters, suspects, write_filter
 
-RUN, BATCH = "run", "batch_id"
 VERSION = (RUN, BATCH)
 NO_RUN = "0"
+_FOLDER = re.compile(rf"/{RUN}=([^/]+)/{BATCH}=(-?\d+)/[^/]+$")
 
 
 def read_stream(
@@ -59,20 +62,31 @@ def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataF
     return spark.read.schema(_target_schema(schema)).parquet(target)
 
 
+def _folder(target: str, folder: Folder) -> str:
+    return f"{target.rstrip('/')}/{RUN}={folder[0]}/{BATCH}={folder[1]}"
+
+
+def written_folders(spark: SparkSession, target: str, schema: T.StructType) -> list[Folder]:
+    """Run and batch of the folders of a target, by their listing; no file is opened."""
+    found = map(_FOLDER.search, read_target(spark, target, schema).inputFiles())
+    return sorted({(f[1], int(f[2])) for f in found if f and f[1] != NO_RUN})
+
+
 def _append_batches(
-    stream: DataFrame, target: str, checkpoint: str, rows: Callable[[DataFrame, DataFrame], DataFrame]
+    stream: DataFrame, target: str, checkpoint: str, rows: Callable[[DataFrame, list[Folder]], DataFrame],
+    written: Callable[[DataFrame, Folder], None] = lambda _, __: None,
 ) -> None:
-    """Write ``rows(batch, known)`` for every available batch, then stop."""
+    """Write ``rows(batch, older folders)`` for every available batch, then stop; ``written`` sees what was written."""
     spark, schema = stream.sparkSession, stream.schema
     _prepare(spark, schema, target)
     run = run_name(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = read_target(batch.sparkSession, target, schema).where(
-            (F.col(RUN) != run) | (F.col(BATCH) < batch_id)
-        )
-        folder = f"{target.rstrip('/')}/{RUN}={run}/{BATCH}={batch_id}"
-        rows(batch, known).write.mode("overwrite").parquet(folder)
+        session, here = batch.sparkSession, (run, batch_id)
+        older = [f for f in written_folders(session, target, schema) if f[0] != run or f[1] < batch_id]
+        with staged_folders(session):
+            rows(batch, older).write.mode("overwrite").parquet(_folder(target, here))
+        written(session.read.schema(schema).parquet(_folder(target, here)), here)
 
     run_batches(stream, checkpoint, write)
 
@@ -88,16 +102,33 @@ def run_batches(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame,
     query.awaitTermination()
 
 
+def new_keys(batch: DataFrame, target: str, keys: Sequence[str], older: Sequence[Folder]) -> DataFrame:
+    """The rows of a batch whose key no older folder holds.
+
+    Only folders whose filter lets a key pass are opened, and only such keys are looked up there; a batch
+    that no filter lets pass opens none.
+    """
+    suspect, folders = suspects(batch, target, keys, older)
+    if not folders:
+        return batch
+    held = batch.sparkSession.read.schema(batch.schema).parquet(*[_folder(target, f) for f in folders])
+    # The few suspect keys are what is sent to the old rows; the old rows stay where they are.
+    found = held.select(*keys).join(suspect, list(keys), "left_semi")
+    return batch.join(found, list(keys), "left_anti")
+
+
 def ingest_increment(
     stream: DataFrame, target: str, key: str | Sequence[str], checkpoint: str, order: Sequence[str]
 ) -> None:
     """Append the rows whose key is not in the target yet, the first row of each key."""
     keys = [key] if isinstance(key, str) else list(key)
+    prepare_filters(stream.sparkSession, target, stream.schema, keys, (NO_RUN, -1))
 
-    def fresh(batch: DataFrame, known: DataFrame) -> DataFrame:
-        return keep_first(batch, keys, order).join(known.select(*keys), keys, "left_anti")
+    def fresh(batch: DataFrame, older: list[Folder]) -> DataFrame:
+        first = stage(keep_first(batch, keys, order), "increment")  # read several times
+        return new_keys(first, target, keys, older).select(*stream.columns)
 
-    _append_batches(stream, target, checkpoint, lambda b, k: fresh(b, k).select(*stream.columns))
+    _append_batches(stream, target, checkpoint, fresh, lambda rows, folder: write_filter(rows, target, keys, folder))
 
 
 def upsert_increment(
