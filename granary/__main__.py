@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     selection(bundle)
     for flag in ("drop-schema", "truncate", "resume", "benchmark"):
         bundle.add_argument(f"--{flag}", action="store_true", dest=flag.removesuffix("-schema"))
+    bundle.add_argument("--at-once", type=int, default=1, help="tables that load side by side")
     bundle.add_argument("--dictionary", help="text file with the data dictionary")
 
     preflight = job("preflight")

@@ -7,6 +7,7 @@ raw text columns are derived from them by plain SQL expressions that both engine
 from __future__ import annotations
 
 from granary.registry import (  # noqa: F401
+    bundles,
     duplicates,
     files,
     increments,

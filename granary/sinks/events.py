@@ -5,6 +5,7 @@ Fields are pairs of text in the order in which they were given.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Mapping
 
@@ -47,19 +48,21 @@ def log_events(events: DataFrame, path: str, fmt: str = "jsonl") -> None:
 
 class RunLog:
     """The events of one job: each is stamped and appended when it happens, so a run that is killed
-    leaves what it had logged.  Without a path nothing is written."""
+    leaves what it had logged.  Threads of the job take turns.  Without a path nothing is written."""
 
     def __init__(self, spark: SparkSession, path: str | None, fmt: str = "jsonl"):
         if fmt not in FORMATS:
             raise ValueError(f"log format must be one of {', '.join(FORMATS)}")
         self.spark, self.path, self.fmt = spark, path, fmt
+        self.turn = threading.Lock()
 
     def event(self, name: str, **fields: object) -> None:
         if not self.path:
             return
         pairs = [(k, str(v)) for k, v in fields.items() if v is not None]
-        row = [(time.strftime(STAMP, time.gmtime()), name, pairs)]
-        log_events(self.spark.createDataFrame(row, f"ts string, {EVENT_SCHEMA}").coalesce(1), self.path, self.fmt)
+        with self.turn:
+            row = [(time.strftime(STAMP, time.gmtime()), name, pairs)]
+            log_events(self.spark.createDataFrame(row, f"ts string, {EVENT_SCHEMA}").coalesce(1), self.path, self.fmt)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

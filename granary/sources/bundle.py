@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +14,7 @@ from granary import catalog
 from granary.functions.rules import choose_names, identifier, infer_schema, primary_key, unique_identifiers
 from granary.functions.text import normalize_identifier
 from granary.sources.delimited import COMMA, read_delimited, read_header
-from granary.sources.files import file_names
+from granary.sources.files import bare, list_files
 
 CSV_SUFFIX = ".csv"
 
@@ -29,8 +30,24 @@ class TableSource:
     key: tuple[str, ...]
 
 
-def _file_name(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1]
+def _last_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def bundle_listing(spark: SparkSession, csv_dir: str) -> DataFrame:
+    """Path and size of the CSV files of a bundle; a table may be a folder ``table.csv`` of files."""
+    try:
+        files = list_files(spark, f"{csv_dir.rstrip('/')}/*{CSV_SUFFIX}", "*" + CSV_SUFFIX)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length long")
+    folder = F.regexp_extract("path", r"^(.*\.csv)/[^/]*$", 1)
+    inside = (folder != "") & (_last_name(folder) != csv_dir.rstrip("/").rsplit("/", 1)[-1])
+    named = files.withColumn("path", F.when(inside, folder).otherwise(F.col("path")))
+    # Listings write one path in two ways.
+    return named.groupBy(bare(F.col("path")).alias("_bare")).agg(
+        F.min("path").alias("path"), F.sum("length").alias("length")).drop("_bare")
 
 
 def requested_order(only: Iterable[str]) -> dict[str, int]:
@@ -66,10 +83,10 @@ def bundle_sources(
     spark: SparkSession, csv_dir: str, only: Sequence[str] = (), skip: Sequence[str] = ()
 ) -> list[TableSource]:
     """The selected tables of a bundle in load order."""
+    files = bundle_listing(spark, csv_dir).select("path", _last_name(F.col("path")).alias("name"))
     paths = {
-        identifier(_file_name(path).removesuffix(CSV_SUFFIX)): path
-        for path in file_names(spark, csv_dir, "*" + CSV_SUFFIX)
-        if _file_name(path) != catalog.RECORD_COUNT_FILE
+        identifier(r["name"].removesuffix(CSV_SUFFIX)): r["path"]
+        for r in files.where(F.col("name") != catalog.RECORD_COUNT_FILE).orderBy("path").collect()  # one row per table
     }
     if not paths:
         raise ValueError(f"no CSV file in {csv_dir}")
@@ -131,9 +148,8 @@ def bundle_inventory(
     files: DataFrame, expected: DataFrame, only: Sequence[str] = (), skip: Sequence[str] = ()
 ) -> DataFrame:
     """``(table, bytes, expected_rows, selected)`` per bundle file."""
-    name = F.element_at(F.split(F.rtrim("path", F.lit("/")), "/"), -1)
     tables = (
-        files.withColumn("name", name)
+        files.withColumn("name", _last_name(F.rtrim("path", F.lit("/"))))
         .where(F.col("name").endswith(CSV_SUFFIX) & (F.col("name") != catalog.RECORD_COUNT_FILE))
         .select(
             normalize_identifier(F.regexp_replace("name", r"\.csv$", "")).alias("table"),

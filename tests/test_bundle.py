@@ -272,3 +272,56 @@ def test_verify_reports_problems(spark, bundle, database, tmp_path):
     spark.sql(f"INSERT INTO {database}.nutrient SELECT * FROM {database}.nutrient WHERE id = 203")
     again = {(r["check"], r["subject"]): r["problems"] for r in plans.verify_database(spark, database).collect()}
     assert again["unique", "nutrient.id"] == 1
+
+
+def test_tables_load_side_by_side(spark, bundle, database, tmp_path, monkeypatch):
+    """Loads overlap, a table may be a folder of files, and one bad cell stops all."""
+    from threading import Barrier
+
+    from granary.plans import bundle as plan
+
+    names, log = ["food", "nutrient", "measure_unit", "microbe"], str(tmp_path / "log")
+    both, load = Barrier(2), plan.load_table
+
+    def meeting(*args, **options):
+        both.wait(60)  # an error unless another load runs at the same time
+        load(*args, **options)
+
+    (bundle / "nutrient.csv").unlink()
+    (bundle / "nutrient.csv").mkdir()
+    for part in ("1", "2"):
+        write_csv(bundle / "nutrient.csv", f"part-{part}", [["id", "name"], [part, "x"]])
+    monkeypatch.setattr(plan, "load_table", meeting)
+    counts = plans.import_bundle(spark, str(bundle), database, only=names, at_once=2, log_path=log, log_format="jsonl")
+    assert {r["table"]: r["rows"] for r in counts.collect()} == {"food": 3, "nutrient": 2, "measure_unit": 1, "microbe": 1}
+    events = [r["event"] for r in read_events(spark, log).collect()]
+    assert events.count("table_start") == events.count("table_done") == 4
+
+    monkeypatch.setattr(plan, "load_table", load)
+    write_csv(bundle, "food", [*TABLES["food"], ["z", "", "", "", ""]])
+    failing = str(tmp_path / "failing")
+    with pytest.raises(LoadError, match="column fdc_id: invalid bigint 'z'"):
+        plans.import_bundle(spark, str(bundle), database, only=names, drop=True, at_once=2, log_path=failing, log_format="jsonl")
+    events = [r["event"] for r in read_events(spark, failing).collect()]
+    assert events.count("table_error") == 1 and "run_done" not in events
+    rows = {n: spark.table(f"{database}.{n}").count() for n in names}
+    assert rows["food"] == 0 and rows["nutrient"] in (0, 2) and rows["measure_unit"] in (0, 1)
+
+
+def test_first_error_cancels_the_other_loads(spark):
+    import time
+
+    started, seen = [], []
+
+    def fail():
+        time.sleep(3)
+        raise ValueError("bad cell")
+
+    def long():
+        spark.range(0, 10**13, 1, 8).select(F.max(F.xxhash64("id"))).write.format("noop").mode("overwrite").save()
+
+    begun = time.time()
+    with pytest.raises(ValueError, match="bad cell"):
+        plans.bundle.side_by_side(
+            spark, {"a": fail, "b": long, "c": lambda: started.append("c")}, 2, lambda table, error: seen.append((table, str(error))))
+    assert seen == [("a", "bad cell")] and not started and time.time() - begun < 60
