@@ -66,6 +66,38 @@ def slices(lengths: np.ndarray, size: int = BLOCK_CHARS) -> Iterator[tuple[int,
         yield start, len(lengths)
 
 
+def coded_words(texts: pa.Array, table: bytes) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of all texts, one after another: the row and the code of each, and the distinct words by code.
+
+    ``table`` gives every byte what stands for it in a word; what it makes a space parts words.  A null text has
+    no words.  The distinct words may include an empty one, which no code means.
+    """
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    body = bytes(memoryview(data)[ends[0] : ends[-1]]) if ends[-1] > ends[0] else b""
+    cleaned = pa.StringArray.from_buffers(len(texts), pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(body.translate(table)))
+    lists = pc.ascii_split_whitespace(cleaned)
+    coded = lists.flatten().dictionary_encode()
+    rows = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    if (blank := coded.dictionary.index("").as_py()) >= 0:
+        real = np.flatnonzero(codes != blank)
+        rows, codes = rows[real], codes[real]
+    return rows, codes, coded.dictionary
+
+
+def united(coded: list[tuple[np.ndarray, pa.Array]]) -> tuple[np.ndarray, pa.Array]:
+    """Codes of several arrays of distinct words, one after another, as codes of one such array."""
+    arrays = [pa.DictionaryArray.from_arrays(pa.array(codes.astype(np.int32)), words) for codes, words in coded]
+    if not arrays:
+        return np.zeros(0, np.int64), pa.array([], type=pa.string())
+    chunks = pa.chunked_array(arrays).unify_dictionaries().chunks
+    return np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in chunks]).astype(np.int64), chunks[0].dictionary
+
+
 def ragged_gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The concatenation of ``flat[s:s+n]`` for all ``s, n``."""
     total = int(lengths.sum())

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.llm.batches import coded_words, slices, text_lengths, united
 from granary.session import stage
 
 #: Documents of its language that a term occurs in at least, to be compared.
@@ -26,8 +27,8 @@ MIN_DOCS = 3
 UNIT = 1_000_000_000
 #: Terms of a block on average: what one array of a pair task holds.
 BLOCK_TERMS = 4096
-#: Entries that one task counts before it hands them on; shapes memory, not results.
-HELD_ENTRIES = 400_000
+#: Entries that one task gathers before it sums them and hands them on; shapes memory, not results.
+HELD_ENTRIES = 1 << 21
 #: Bytes of one long text that are counted at a time; shapes memory, not results.
 PIECE_BYTES = 1 << 22
 
@@ -49,6 +50,27 @@ def term_counts(text: str) -> Counter:
     return found
 
 
+def _block(texts: pa.Array, long: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Row, code and occurrences of every term of every text, and the distinct terms by code."""
+    if not long:
+        row, codes, terms = coded_words(texts, _TERM_BYTES)
+        keys, n = np.unique(row << 32 | codes, return_counts=True)
+        return keys >> 32, keys & 0xFFFFFFFF, n, terms
+    found = [term_counts(text) for text in texts.to_pylist()]
+    sizes = [len(x) for x in found]
+    n = np.fromiter((k for x in found for k in x.values()), np.int64, sum(sizes))
+    codes, terms = united([(np.arange(len(x)), pa.array([t.decode() for t in x], type=pa.string())) for x in found])
+    return np.repeat(np.arange(len(found)), sizes), codes, n, terms
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct keys in order, and the sums of each one's values."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    cuts = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), dtype=bool), keys[1:] != keys[:-1]]))
+    return keys[cuts], [np.add.reduceat(v[order], cuts) if len(cuts) else v[:0] for v in values]
+
+
 def counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``lang``, ``source``, ``term``, occurrences ``n`` and documents ``docs`` with the term.
 
@@ -57,29 +79,36 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple, tuple[Counter, Counter]] = {}
-        held = 0
+        groups: dict[tuple, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (of_lang, of_source), (n, n_docs) in groups.items():
-                terms = [None, *(t.decode() for t in n)]
-                columns = [[of_lang] * len(terms), [of_source] * len(terms), terms, [0, *n.values()], [0, *map(n_docs.get, n)]]
-                kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-                arrays = [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])
-            groups.clear()
-
+            codes, terms = united([(h[1], h[4]) for h in held])
+            of_group, n, n_docs = (np.concatenate([np.zeros(0, np.int64), *(h[k] for h in held)]) for k in (0, 2, 3))
+            keys, (n, n_docs) = _summed(of_group << 32 | codes, n, n_docs)
+            of_group = np.concatenate([np.arange(len(groups)), keys >> 32])
+            names = [pa.array(x, type=pa.string()).take(pa.array(of_group)) for x in zip(*groups, strict=True)] if groups else [pa.array([], type=pa.string())] * 2
+            shown = pa.concat_arrays([pa.nulls(len(groups), pa.string()), terms.take(pa.array(keys & 0xFFFFFFFF))])
+            sums = [pa.array(np.concatenate([np.zeros(len(groups), np.int64), x])) for x in (n, n_docs)]
+            made = pa.RecordBatch.from_arrays([*names, shown, *sums], names=["lang", "source", "term", "n", "docs"])
+            groups.clear(), held.clear()
+            for start in range(0, made.num_rows, 1 << 16):
+                yield made.slice(start, 1 << 16)
+
+        size = 0
         for batch in batches:
-            for of_lang, of_source, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n, n_docs = groups.setdefault((of_lang, of_source), (Counter(), Counter()))
-                found = term_counts(body)
-                held -= len(n)
-                n.update(found)
-                n_docs.update(found.keys())
-                held += len(n)
-                if held >= HELD_ENTRIES:
+            lengths = text_lengths(batch.column(2))
+            for start, stop in slices(lengths):
+                part = batch.slice(start, stop - start)
+                of_row = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
+                of_row = np.array([groups.setdefault(of, len(groups)) for of in of_row], dtype=np.int64)
+                row, codes, n, terms = _block(part.column(2), bool(lengths[start:stop].max() > PIECE_BYTES))
+                keys, (n, n_docs) = _summed(of_row[row] << 32 | codes, n, np.ones(len(n), np.int64))
+                held.append((keys >> 32, keys & 0xFFFFFFFF, n, n_docs, terms))
+                size += len(keys)
+                if size >= HELD_ENTRIES:
                     yield from flush()
-                    held = 0
+                    size = 0
         yield from flush()
 
     read = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])

@@ -6,8 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from granary.llm import divergence, scoring
+from granary.llm.batches import coded_words
 from test_scans import LOWER, key
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -60,6 +62,29 @@ def test_long_texts_are_counted_in_pieces(monkeypatch):
     assert divergence.term_counts(text) == whole == Counter({"Über".encode(): 50, b"alles": 150})
 
 
+@pytest.mark.parametrize(("held", "piece"), [(1 << 21, 1 << 22), (50, 1 << 22), (1 << 21, 17)])
+def test_counts_of_terms_coded_by_block(spark, documents, corpus, monkeypatch, held, piece):
+    monkeypatch.setattr(divergence, "HELD_ENTRIES", held)
+    monkeypatch.setattr(divergence, "PIECE_BYTES", piece)
+    n, n_docs = Counter(), Counter()
+    for _, text, lang, source in corpus:
+        found = Counter(TERM.findall((text or "").translate(LOWER)))
+        of = (lang or "", source or "")
+        n.update({(*of, t): k for t, k in found.items()}), n_docs.update((*of, t) for t in found)
+        n[*of, None] = n_docs[*of, None] = 0
+    got = {(r.lang, r.source, r.term): (r.n, r.docs) for r in divergence.counts(documents(corpus)).collect()}
+    assert got == {k: (n[k], n_docs[k]) for k in n}
+
+
+def test_coded_words():
+    texts = ["", None, " A  b\ta ", "Ünï 9\x00x", "  ", "b"]
+    whole = pa.array(["cut off", *texts])
+    for some, wanted in ((whole.slice(1), texts), (whole.slice(1, 2), texts[:2]), (whole.slice(7), []), (pa.array(texts[2:], pa.large_string()), texts[2:])):
+        rows, codes, words = coded_words(some, bytes(range(256)).lower())
+        found = [words[c].as_py() for c in codes.tolist()]
+        assert list(zip(rows.tolist(), found, strict=True)) == [(i, w) for i, t in enumerate(wanted) for w in (t or "").translate(LOWER).split()]
+
+
 def test_parts_of_huge_counts():
     n = np.array([0, 5, 10**12, 10**15])
     assert divergence.parts(n, 10**15, 10**6).tolist() == [1 + 10**9 * (x + 1) // (10**15 + 10**6) for x in n.tolist()]
