@@ -10,7 +10,6 @@ size.  Beside the model's probability, every text has an exact add-one unigram s
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice, repeat
@@ -22,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.batches import per_document
+from granary.llm.batches import coded_words, per_document, slices, text_lengths, united
 from granary.session import stage
 
 #: Words of an n-gram at most.
@@ -39,10 +38,15 @@ SUB_BITS, SHARE = 1 << 23, 64
 #: Words whose counts every task has; the counts of all others are joined.
 FREQUENT, FREQUENT_BYTES = 1 << 16, 64
 #: Entries and n-grams that one task sums before it hands them on; shape memory, not results.
-HELD_ENTRIES, HELD_GRAMS = 400_000, 1 << 22
+HELD_ENTRIES, HELD_GRAMS = 1 << 20, 1 << 22
+#: Bytes of a text beyond which it is cut into words piece by piece.
 PIECE_BYTES = 1 << 20
+#: Places (a power of two) of a task for the levels of n-grams that it met last; shapes memory, not results.
+MET_BITS = 20
 #: Words that a task looks up once; shapes memory, not results.
 REMEMBERED = 300_000
+#: ASCII letters in lower case, and a space for every byte that parts words.
+_WORD_BYTES = bytes(32 if b in b" \t\n\v\f\r" else b for b in bytes(range(256)).lower())
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _GOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Hashes of what stands before the first and behind the last word; no word has a space in it.
@@ -71,11 +75,34 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def hashes(text: str | None) -> np.ndarray:
-    """The hashes of the start, the words and the end of a text."""
-    digest = xxhash.xxh64_intdigest
-    parts = [np.fromiter(map(digest, some, repeat(SEED)), np.uint64, len(some)) for some in words(text)]
-    return np.concatenate([[START], *parts, [END]]).astype(np.uint64)
+def _coded(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """The row and the code of every word of some texts, and the distinct words; with a long text, by pieces."""
+    if not text_lengths(texts).max(initial=0) > PIECE_BYTES:
+        yield coded_words(texts, _WORD_BYTES)
+        return
+    for row, text in enumerate(texts.to_pylist()):
+        for some in words(text):
+            coded = pa.array([w.decode() for w in some], type=pa.string()).dictionary_encode()
+            yield np.full(len(some), row), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def _shown(found: pa.Array) -> list[bytes]:
+    return found.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _hashed(found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64, len(found))
+
+
+def framed(coded: list[tuple[np.ndarray, np.ndarray]], count: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of ``count`` texts, given by row and value, with the two ``ends`` around each text's; and the sizes."""
+    rows = np.concatenate([np.zeros(0, np.int64), *(c[0] for c in coded)])
+    sizes = np.bincount(rows, minlength=count) + 2
+    starts = np.cumsum(sizes) - sizes
+    flat = np.empty(int(sizes.sum()), ends.dtype)
+    flat[starts], flat[starts + sizes - 1] = ends
+    flat[np.arange(len(rows)) + 2 * rows + 1] = np.concatenate([np.zeros(0, ends.dtype), *(c[1] for c in coded)])
+    return flat, sizes
 
 
 def grams(tokens: np.ndarray, order: int) -> list[np.ndarray]:
@@ -102,23 +129,37 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, others, ends = Counter(), Counter(), [0, 0]
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]] = []
+        ends = [0, 0]
 
         def flush() -> Iterator[pa.RecordBatch]:
-            found = [*n, *(w for w in others if w not in n)]
-            columns = [[None, *(w.decode() for w in found)], [ends[1], *map(n.__getitem__, found)], [ends[0], *map(others.__getitem__, found)]]
-            kinds = [pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=["word", "n", "others"])
-            n.clear(), others.clear()
+            codes, found = united([(h[0], h[3]) for h in held])
+            sums = [np.zeros(len(found), np.int64) for _ in range(2)]
+            for k, total in enumerate(sums):
+                np.add.at(total, codes, np.concatenate([np.zeros(0, np.int64), *(h[k + 1] for h in held)]))
+            met = np.flatnonzero(sums[0] + sums[1])
+            columns = [pa.concat_arrays([pa.nulls(1, pa.string()), found.take(pa.array(met))])]
+            columns += [pa.array(np.concatenate([[end], total[met]]), type=pa.int64()) for end, total in zip(ends[::-1], sums, strict=True)]
+            made = pa.RecordBatch.from_arrays(columns, names=["word", "n", "others"])
+            held.clear()
             ends[:] = 0, 0
+            for start in range(0, made.num_rows, 1 << 16):
+                yield made.slice(start, 1 << 16)
 
+        size = 0
         for batch in batches:
-            for learns, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for some in words(text):
-                    (n if learns else others).update(some)
-                ends[learns] += 1
-                if len(n) + len(others) >= HELD_ENTRIES:
+            learns, texts = batch.column(0).to_numpy(zero_copy_only=False).astype(bool), batch.column(1)
+            ends[1] += int(learns.sum())
+            ends[0] += int((~learns).sum())
+            for start, stop in slices(text_lengths(texts)):
+                for rows_of, codes, found in _coded(texts.slice(start, stop - start)):
+                    every = np.bincount(codes, minlength=len(found))
+                    n = np.bincount(codes[learns[start:stop][rows_of]], minlength=len(found))
+                    held.append((np.arange(len(found)), n, every - n, found))
+                    size += len(found)
+                if size >= HELD_ENTRIES:
                     yield from flush()
+                    size = 0
         yield from flush()
 
     found = rows.select("learns", "text").mapInArrow(run, "word string, n bigint, others bigint")
@@ -140,8 +181,12 @@ def _gram_counts(rows: DataFrame, order: int) -> DataFrame:
                 yield made.slice(start, 1 << 16)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = [g[k:] for k, g in enumerate(grams(hashes(text), order)) if k]
+            texts = batch.column(0)
+            for start, stop in slices(text_lengths(texts)):
+                coded = [(rows_of, _hashed(_shown(some))[codes]) for rows_of, codes, some in _coded(texts.slice(start, stop - start))]
+                tokens, sizes = framed(coded, stop - start, np.array([START, END]))
+                place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                found = [g[place >= k] for k, g in enumerate(grams(tokens, order)) if k]
                 held += found
                 size += sum(map(len, found))
                 if size >= HELD_GRAMS:
@@ -212,6 +257,23 @@ class Filter:
         return level
 
 
+class Met:
+    """Levels of n-grams; those met last are remembered, each in the place that its hash names."""
+
+    def __init__(self, levels: Callable[[np.ndarray], np.ndarray]):
+        self.levels, self.shift = levels, np.uint64(64 - MET_BITS)
+        self.met = ~(np.arange(1 << MET_BITS, dtype=np.uint64) << self.shift)  # none has its place there
+        self.level = np.zeros(1 << MET_BITS, dtype=np.int8)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        place = (h >> self.shift).astype(np.int64)
+        found = self.level[place].astype(np.int64)
+        new = np.flatnonzero(self.met[place] != h)
+        found[new] = self.levels(h[new])
+        self.met[place[new]], self.level[place[new]] = h[new], found[new]
+        return found
+
+
 def _sub_filters(counted: DataFrame, subs: int) -> DataFrame:
     """``sub`` and its ``bits``; each is made by one task from rows that it reads in order."""
 
@@ -307,6 +369,7 @@ class Words:
         self.levels = levels(self.hashes)
 
     def number(self, some: list[bytes]) -> np.ndarray:
+        """The numbers of distinct words."""
         found = np.fromiter(map(self.numbers.get, some, repeat(0)), np.int64, len(some))
         for i in np.flatnonzero(found == 0).tolist():
             found[i] = self.numbers.setdefault(some[i], len(self.numbers) + 2)
@@ -316,7 +379,7 @@ class Words:
         """Look up the words numbered since the last time."""
         new = list(islice(self.numbers, len(self.shown), None))
         self.shown += new
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, new, repeat(SEED)), np.uint64, len(new))
+        hashes = _hashed(new)
         self.hashes = np.concatenate([self.hashes, hashes])
         self.counts = np.concatenate([self.counts, [self.frequent.get(w, np.nan) for w in new]])
         self.levels = np.concatenate([self.levels, self.levels_of(hashes)])
@@ -326,14 +389,10 @@ class Block:
     """Some texts as numbers of their words."""
 
     def __init__(self, texts: list[str | None], known: Words):
-        parts, sizes = [], []
-        for text in texts:
-            found = [known.number(some) for some in words(text)]
-            parts += [np.zeros(1, np.int64), *found, np.ones(1, np.int64)]
-            sizes.append(sum(map(len, found)) + 2)
+        coded = [(rows, known.number(_shown(found))[codes]) for rows, codes, found in _coded(pa.array(texts, type=pa.string()))]
         known.catch_up()
         self.known = known
-        self.flat, self.sizes = np.concatenate(parts), np.array(sizes)
+        self.flat, self.sizes = framed(coded, len(texts), np.array([0, 1]))
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def sums(self, values: np.ndarray) -> np.ndarray:
@@ -361,7 +420,8 @@ def _log_probabilities(block: Block, model: Model, levels: Callable[[np.ndarray]
     for k, gram in enumerate(grams(block.known.hashes[block.flat], model.order)):
         if k:
             history = np.concatenate([[0.0], counts[:-1]])
-            inside = np.flatnonzero(place >= k)
+            # Of a history never seen, no n-gram counts; with it as a part of longer ones, it may.
+            inside = np.flatnonzero((place >= k) & (history > 0) if k + 1 == model.order else place >= k)
             counts = np.zeros(len(gram))
             counts[inside] = _TYPICAL[levels(gram[inside])]
             seen = np.minimum(counts, history)
@@ -386,6 +446,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     shares, frequent = model.shares, model.frequent
     held: list[Filter] = []
     met: list[Words] = []
+    lately: list[Met] = []
 
     def levels(h: np.ndarray) -> np.ndarray:
         found = np.zeros(len(h), dtype=np.int64)
@@ -399,6 +460,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         return found
 
     def run(columns: list[list]) -> dict:
+        lately[:] = lately or [Met(levels)]
         if not met or len(met[0].numbers) > REMEMBERED:
             met[:] = [Words(frequent.value, slim.ends, levels)]
         block = Block(columns[0], met[0])
@@ -407,7 +469,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         return {
             "n_tokens": block.sizes - 1,
             "n_known": block.sums((counts > 0)[block.flat].astype(np.int64)),
-            "logs": block.sums(logs), "rest": block.rest(), "score": _log_probabilities(block, slim, levels),
+            "logs": block.sums(logs), "rest": block.rest(), "score": _log_probabilities(block, slim, lately[0]),
         }
 
     scored = per_document(

@@ -181,6 +181,34 @@ def test_model_scores_are_those_of_the_levels(spark, documents, corpus, monkeypa
     assert np.allclose([x for _, x in sorted((g[0], g[4]) for g in shared)], [w[1] for w in want], rtol=1e-9)
 
 
+def test_levels_met_lately_are_not_asked_again(monkeypatch):
+    monkeypatch.setattr(scoring, "MET_BITS", 4)
+    asked = []
+    met = scoring.Met(lambda h: asked.append(len(h)) or (h % np.uint64(31)).astype(np.int64))
+    rnd = np.random.default_rng(3)
+    for h in (np.zeros(0, np.uint64), *(rnd.choice(rnd.integers(0, 1 << 63, 40, dtype=np.uint64) << np.uint64(1), 200) for _ in range(5))):
+        assert (met(h) == h % np.uint64(31)).all()
+    last = np.array([7, 7 << 60, 15 << 60, 0], dtype=np.uint64)
+    asked.clear()
+    met(last[1:]), met(last[1:])
+    assert sum(asked) <= 3 and (met(last) == last % np.uint64(31)).all()
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 17])
+def test_words_and_grams_coded_by_block(spark, documents, corpus, monkeypatch, piece):
+    monkeypatch.setattr(scoring, "PIECE_BYTES", piece)
+    texts = pa.array([r[1] for r in corpus])
+    found = [(i, some[c].as_py().encode()) for rows, codes, some in scoring._coded(texts) for i, c in zip(rows.tolist(), codes.tolist(), strict=True)]
+    assert found == [(i, w) for i, r in enumerate(corpus) for w in tokens(r[1])[:-1]]
+    flat, sizes = scoring.framed([(np.array([0, 0, 2]), np.array([5, 6, 7]))], 4, np.array([0, 1]))
+    assert flat.tolist() == [0, 5, 6, 1, 0, 1, 0, 7, 1, 0, 1] and sizes.tolist() == [4, 2, 3, 2]
+    rows = documents(corpus).selectExpr("true AS learns", "text")
+    got = sorted(r.n for r in scoring._gram_counts(rows, 3).collect())
+    framed = [["start", *tokens(r[1])] for r in corpus]
+    want = Counter(tuple(t[i : i + k]) for t in framed for k in (2, 3) for i in range(len(t) - k + 1))
+    assert got == sorted(n for n in want.values() if n >= 2)
+
+
 def test_filter_loses_nothing_and_errs_rarely():
     rnd = np.random.default_rng(1)
     h = rnd.integers(0, 1 << 63, 45_000, dtype=np.uint64)
