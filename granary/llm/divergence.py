@@ -28,7 +28,7 @@ UNIT = 1_000_000_000
 #: Terms of a block on average: what one array of a pair task holds.
 BLOCK_TERMS = 4096
 #: Entries that one task gathers before it sums them and hands them on; shapes memory, not results.
-HELD_ENTRIES = 1 << 21
+HELD_ENTRIES = 1 << 18
 #: Bytes of one long text that are counted at a time; shapes memory, not results.
 PIECE_BYTES = 1 << 22
 
